@@ -1,0 +1 @@
+"""Intentionally empty: every job here reads bounded input, so nothing streams."""
