@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import colour_of, colour_rank, rank_colour
@@ -89,8 +89,10 @@ def initial_state(edges: DataFrame, start: int) -> DataFrame:
 
 def expand_frontier(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     """(src, node, distance): one row per out-edge of a frontier node."""
-    return frontier.join(edges, frontier["node"] == edges["src"]).select(
-        edges["src"], edges["dst"].alias("node"), (frontier["distance"] + 1).alias("distance")
+    return (
+        frontier.select(F.col("node").alias("src"), "distance")
+        .join(edges, "src")
+        .select("src", F.col("dst").alias("node"), (F.col("distance") + 1).alias("distance"))
     )
 
 
@@ -162,15 +164,14 @@ class EdgeStore:
 
     def expand(self, frontier: DataFrame) -> DataFrame:
         """(dst, copies), one row per distinct out-edge of the frontier."""
-        keyed = frontier.select("node")
-        edges = self.edges
-        if not self.profile.hot:
-            return keyed.join(edges, keyed["node"] == edges["src"]).select("dst", "copies")
-        keyed = with_blocks(keyed, "node", self.profile).select(
-            "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at")
-        )
-        same = (keyed["node"] == edges["src"]) & (keyed["at"] == edges["block"])
-        return keyed.join(edges, same).select("dst", "copies")
+        keyed = frontier.select(F.col("node").alias("src"))
+        on = ["src"]
+        if self.profile.hot:
+            on = ["src", "block"]
+            keyed = with_blocks(keyed, "src", self.profile).select(
+                "src", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+            )
+        return keyed.join(self.edges, on).select("dst", "copies")
 
 
 @contextmanager
@@ -240,10 +241,17 @@ def traverse(
     base = scratch_path(spark, "traversal")
     walk = Traversal(spark)
 
-    def add_round(rows: DataFrame) -> None:
+    def add_round(rows: DataFrame) -> dict:
+        """Write a round; its counts are observed in the tasks that write it."""
         path = f"{base}/round={len(walk.paths):06d}"
-        rows.write.parquet(path)
+        written = Observation()
+        rows.observe(
+            written,
+            F.count(F.lit(1)).alias("fresh"),
+            F.max(F.when(F.col("node") == F.lit(target), F.col("directions"))).alias("hits"),
+        ).write.parquet(path)
         walk.paths.append(path)
+        return written.get
 
     add_round(
         spark.range(start, start + 1, 1, 1).select(
@@ -263,23 +271,15 @@ def traverse(
         seen = walk.reached.select("node")
         if target is not None:
             seen = seen.where(F.col("node") != target)
-        add_round(
+        facts = add_round(
             candidates.join(seen, "node", "left_anti").select(
                 "node", F.lit(number).alias("distance"), "directions"
             )
         )
-        facts = (
-            walk.round(number)
-            .agg(
-                F.count(F.lit(1)).alias("fresh"),
-                F.max(F.when(F.col("node") == F.lit(target), F.col("directions"))).alias("hits"),
-            )
-            .first()
-        )
-        if facts.hits is not None:
-            walk.hit_round, walk.hits = number, facts.hits
+        if facts["hits"] is not None:
+            walk.hit_round, walk.hits = number, facts["hits"]
             break
-        if facts.fresh == 0:
+        if facts["fresh"] == 0:
             break
     return walk
 

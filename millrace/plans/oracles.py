@@ -6,7 +6,7 @@ is a recursive CTE, Lloyd rounds are unrolled, the silhouette is pairwise.
 
 from __future__ import annotations
 
-from millrace.plans.queries import CLUSTERS, ORIGIN, START, TARGET
+from millrace.plans.queries import CLUSTERS, ORIGIN, START, TARGET, TIE_SHIFT
 
 COORDS = ("x", "y", "z", "w")
 
@@ -57,7 +57,7 @@ def bucket(key: str) -> str:
 
 
 def rounded(expr: str, places: int = 6) -> str:
-    return f"(round({expr}, {places}) + 0.0)"
+    return f"(round({expr} + {TIE_SHIFT * 10**-places}, {places}) + 0.0)"
 
 
 def distance(a: str, b: str, dims: tuple[str, ...]) -> str:
@@ -388,9 +388,9 @@ select 'l_quantity' as term,
 union all
 select '(intercept)', {rounded('regr_intercept(l_extendedprice, l_quantity)', 4)} from lineitem""",
     "linear_fit_ridge": RIDGE,
-    "regression_metrics": f"""select {rounded(f'sqrt(avg(power({_ERROR}, 2)))', 4)} as rmse,
-  {rounded(f'avg(power({_ERROR}, 2))', 4)} as mse, {rounded(f'avg(abs({_ERROR}))', 4)} as mae,
-  {rounded(f'1 - sum(power({_ERROR}, 2)) / (var_pop(l_extendedprice) * count(*))', 4)} as r2
+    "regression_metrics": f"""select {rounded(f'sqrt(avg(power({_ERROR}, 2)))', 2)} as rmse,
+  {rounded(f'avg(power({_ERROR}, 2))', 2)} as mse, {rounded(f'avg(abs({_ERROR}))', 2)} as mae,
+  {rounded(f'1 - sum(power({_ERROR}, 2)) / (var_pop(l_extendedprice) * count(*))')} as r2
   from lineitem""",
     # classification
     "confusion_matrix": f"""with {FIXED_RULE}
