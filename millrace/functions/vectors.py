@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
 
@@ -23,16 +23,22 @@ def vector_add(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
-def nearest_rows(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Index of the nearest centroid per row of one Arrow batch.
+def nearest_index_of(centroids: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """A function from the points of one Arrow batch to the index of the nearest
+    centroid of each. Ties go to the lowest index and a NaN distance never wins.
 
-    Ties go to the lowest index and a NaN distance never wins.
+    A closure travels to the executors by value, so they need no copy of this
+    package.
     """
-    squares = np.zeros((len(points), len(centroids)))
-    for dim in range(centroids.shape[1]):
-        squares += (points[:, dim, None] - centroids[None, :, dim]) ** 2
-    distances = np.sqrt(squares)
-    return np.where(np.isnan(distances), np.inf, distances).argmin(axis=1)
+
+    def index(points: np.ndarray) -> np.ndarray:
+        squares = np.zeros((len(points), len(centroids)))
+        for dim in range(centroids.shape[1]):
+            squares += (points[:, dim, None] - centroids[None, :, dim]) ** 2
+        distances = np.sqrt(squares)
+        return np.where(np.isnan(distances), np.inf, distances).argmin(axis=1)
+
+    return index
 
 
 def nearest(coords: Sequence[Column], centroids: Sequence[Sequence[float]]) -> Column:
@@ -41,11 +47,11 @@ def nearest(coords: Sequence[Column], centroids: Sequence[Sequence[float]]) -> C
     A batch at a time: K x d unrolled into JVM expressions overflows the JIT's
     method limit, and a higher-order function is ten times slower (see README).
     """
-    fixed = np.asarray(centroids, dtype=float)
+    nearest_index = nearest_index_of(np.asarray(centroids, dtype=float))
 
     @F.pandas_udf("int")
     def index(*columns: pd.Series) -> pd.Series:
         rows = np.column_stack([c.to_numpy(dtype=float, na_value=np.nan) for c in columns])
-        return pd.Series(nearest_rows(rows, fixed).astype("int32"))
+        return pd.Series(nearest_index(rows).astype("int32"))
 
     return index(*coords)

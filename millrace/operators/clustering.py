@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import euclidean, nearest
-from millrace.functions.vectors import nearest_rows
+from millrace.functions.vectors import nearest_index_of
 from millrace.operators.caching import cached
+from millrace.operators.skew import SMALL_ROWS, partitions_for
 
 # The parameters of the two library runs and of the Lloyd loop.
 MANY_CLUSTERS = 51
@@ -98,13 +99,13 @@ def _round_sums(points: DataFrame, centroids: np.ndarray, use: list[int]) -> Dat
     most K rows to the shuffle however many points one cluster holds.
     """
     k, d = centroids.shape
-    fixed = centroids[:, use]
+    nearest_index = nearest_index_of(centroids[:, use])
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, sums = np.zeros(k, dtype="int64"), np.zeros((k, d))
         for batch in batches:
             rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            index = nearest_rows(rows[:, use], fixed)
+            index = nearest_index(rows[:, use])
             counts += np.bincount(index, minlength=k)
             for dim in range(d):
                 sums[:, dim] += np.bincount(index, weights=rows[:, dim], minlength=k)
@@ -116,11 +117,8 @@ def _round_sums(points: DataFrame, centroids: np.ndarray, use: list[int]) -> Dat
         )
 
     schema = "cluster int, n bigint" + "".join(f", s{dim} double" for dim in range(d))
-    return (
-        points.mapInArrow(partial, schema)
-        .groupBy("cluster")
-        .agg(F.sum("n").alias("n"), *[F.sum(f"s{dim}").alias(f"s{dim}") for dim in range(d)])
-    )
+    sums = [f"s{dim}" for dim in range(d)]
+    return points.mapInArrow(partial, schema).groupBy("cluster").sum("n", *sums)
 
 
 def lloyd(
@@ -143,12 +141,15 @@ def lloyd(
     current = np.asarray(seeds, dtype=float)
     result = LloydResult(current.tolist(), coords)
     with cached(points.select([F.col(c).cast("double") for c in coords])) as held:
+        # Small data in few tasks: a round is then mostly the start of its tasks.
+        rows = held.count()
+        tasks = held.coalesce(partitions_for(held, rows)) if rows <= SMALL_ROWS else held
         moved = np.inf
         while moved > stop_movement and (max_iter is None or result.rounds < max_iter):
             fresh, sizes = current.copy(), [0] * len(current)
-            for row in _round_sums(held, current, use).collect():
-                sizes[row.cluster] = row.n
-                fresh[row.cluster] = np.array(row[2:]) / row.n
+            for cluster, n, *sums in _round_sums(tasks, current, use).collect():
+                sizes[cluster] = n
+                fresh[cluster] = np.array(sums) / n
             moved = float(np.sqrt(((fresh - current)[:, use] ** 2).sum(axis=1)).sum())
             current = fresh
             result.centroids, result.sizes = current.tolist(), sizes

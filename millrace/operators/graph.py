@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import colour_of, colour_rank, rank_colour
@@ -220,9 +220,6 @@ class Traversal:
         """(node, distance, directions) of every node reached so far."""
         return self.spark.read.schema(_REACHED).parquet(*self.paths)
 
-    def round(self, number: int) -> DataFrame:
-        return self.spark.read.schema(_REACHED).parquet(self.paths[number])
-
 
 def traverse(
     store: EdgeStore,
@@ -241,19 +238,13 @@ def traverse(
     base = scratch_path(spark, "traversal")
     walk = Traversal(spark)
 
-    def add_round(rows: DataFrame) -> dict:
-        """Write a round; its counts are observed in the tasks that write it."""
+    def add_round(rows: DataFrame) -> DataFrame:
         path = f"{base}/round={len(walk.paths):06d}"
-        written = Observation()
-        rows.observe(
-            written,
-            F.count(F.lit(1)).alias("fresh"),
-            F.max(F.when(F.col("node") == F.lit(target), F.col("directions"))).alias("hits"),
-        ).write.parquet(path)
+        rows.write.parquet(path)
         walk.paths.append(path)
-        return written.get
+        return spark.read.schema(_REACHED).parquet(path)
 
-    add_round(
+    frontier = add_round(
         spark.range(start, start + 1, 1, 1).select(
             F.col("id").alias("node"),
             F.lit(0).alias("distance"),
@@ -264,22 +255,25 @@ def traverse(
     while max_rounds is None or number < max_rounds:
         number += 1
         candidates = (
-            store.expand(walk.round(number - 1))
+            store.expand(frontier)
             .groupBy(F.col("dst").alias("node"))
             .agg(F.sum("copies").alias("directions"))
         )
         seen = walk.reached.select("node")
         if target is not None:
             seen = seen.where(F.col("node") != target)
-        facts = add_round(
+        frontier = add_round(
             candidates.join(seen, "node", "left_anti").select(
                 "node", F.lit(number).alias("distance"), "directions"
             )
         )
-        if facts["hits"] is not None:
-            walk.hit_round, walk.hits = number, facts["hits"]
+        # The target's row if it was reached, else any row: one stage, one row.
+        first = frontier.orderBy(F.coalesce(F.col("node") != F.lit(target), F.lit(True))).limit(1)
+        found = first.collect()
+        if not found:
             break
-        if facts["fresh"] == 0:
+        if found[0].node == target:
+            walk.hit_round, walk.hits = number, found[0].directions
             break
     return walk
 

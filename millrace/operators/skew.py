@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_PARTITION = 4_000_000
+# Up to here a table counts as small: shuffling it again costs next to nothing.
+SMALL_ROWS = 1_000_000
 SMALL_PARTITION = 50_000
-MAX_PARTITIONS = 100_000
 # No key is split below this many rows.
 BLOCK_ROWS = 100_000
 
@@ -31,11 +32,17 @@ class KeyProfile:
 
 
 def partitions_for(df: DataFrame, rows: int) -> int:
-    """Partition count by row count: all cores for small data, bounded tasks for
-    large data."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    wanted = max(math.ceil(rows / ROWS_PER_PARTITION), min(cores, math.ceil(rows / SMALL_PARTITION)))
-    return max(1, min(MAX_PARTITIONS, wanted))
+    """Partition count for a table that is joined again and again.
+
+    A large table gets at least `spark.sql.shuffle.partitions`: with fewer, the
+    planner prefers to shuffle both sides of a join to that number.
+    """
+    spark = df.sparkSession
+    if rows <= SMALL_ROWS:
+        cores = spark.sparkContext.defaultParallelism
+        return max(1, min(cores, math.ceil(rows / SMALL_PARTITION)))
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, math.ceil(rows / ROWS_PER_PARTITION))
 
 
 def profile_key(df: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> KeyProfile:

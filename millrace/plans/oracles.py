@@ -172,7 +172,7 @@ from test join p on p.v = o_orderpriority join m on m.v = c_mktsegment"""
 RIDGE = f"""
 with s as (select regr_slope(l_extendedprice, l_quantity) as b,
                   avg(l_quantity) as mx, avg(l_extendedprice) as my,
-                  stddev_samp(l_extendedprice) as sy, var_pop(l_extendedprice) as vy
+                  stddev_pop(l_extendedprice) as sy
            from lineitem),
 slope as (select b * 1.0 / (1.0 + 100.0 / sy) as b1, my, mx from s)
 select 'l_quantity' as term, {rounded('b1', 4)} as coefficient, 100.0::double as reg_param from slope
