@@ -178,32 +178,32 @@ class EdgeStore:
 def edge_store(edges: DataFrame, block_rows: int = BLOCK_ROWS) -> Iterator[EdgeStore]:
     """Hold the edges for the duration of a traversal.
 
-    Cached on memory and local disk; a lost executor's part is recomputed.
+    They are derived once and written to the shared folder; the partitioned
+    copy is cached on memory and local disk, and what a lost executor held of it
+    is read from there again.
     """
-    raw = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    held = None
-    try:
-        profile = profile_key(raw, "src", block_rows)
-        if profile.hot:
-            keys = ["src", "block"]
-            rows = with_blocks(_counted(raw), "src", profile).select(
-                "src", block_of("dst").alias("block"), "dst", "copies"
-            )
-        else:
-            keys = ["src"]
-            rows = raw.select("src", "dst", F.lit(1).cast("bigint").alias("copies"))
-        held = (
-            rows.repartition(profile.partitions, *keys)
-            .sortWithinPartitions(*keys)
-            .persist(StorageLevel.MEMORY_AND_DISK)
+    spark = edges.sparkSession
+    path = scratch_path(spark, "edges")
+    edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")).write.parquet(path)
+    table = spark.read.schema("src bigint, dst bigint").parquet(path)
+    profile = profile_key(table, "src", block_rows)
+    if profile.hot:
+        keys = ["src", "block"]
+        rows = with_blocks(_counted(table), "src", profile).select(
+            "src", block_of("dst").alias("block"), "dst", "copies"
         )
-        held.count()
-        raw.unpersist()
+    else:
+        keys = ["src"]
+        rows = table.withColumn("copies", F.lit(1).cast("bigint"))
+    held = (
+        rows.repartition(profile.partitions, *keys)
+        .sortWithinPartitions(*keys)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
         yield EdgeStore(held, profile)
     finally:
-        if held is not None:
-            held.unpersist()
-        raw.unpersist()
+        held.unpersist()
 
 
 @dataclass
