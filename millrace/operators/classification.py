@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.caching import cached
-from millrace.operators.features import feature_pipeline
+from millrace.operators.features import feature_pipeline, require_categories
 
 # The solver parameters of the classification job.
 MAX_ITER = 10
@@ -39,6 +39,7 @@ def fit_logistic(
         family=family,
     )
     with cached(train) as held:
+        require_categories(held, categorical)
         return feature_pipeline(categorical, inputs, classifier).fit(held)
 
 

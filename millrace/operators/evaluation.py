@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.sources.scratch import scratch_path
+from millrace.operators.ordering import running_totals
 
 
 def silhouette(
@@ -54,45 +54,21 @@ def roc_curve(df: DataFrame, score: str = "prediction", label: str = "label") ->
     """(position, threshold, fpr, tpr): (0, 0) first, one point per distinct
     score from the highest down, (1, 1) last. A label above 0.5 is positive.
 
-    The running counts need no single task: scores are counted once each,
-    ranged over the partitions and written with their range number; totals per
-    range then offset the running sums inside each range.
+    Every score is counted once before the running totals, so neither many
+    scores nor many rows of one score meet in a single task.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "scores")
     positive = F.col(label) > 0.5
-    (
-        df.groupBy(F.col(score).cast("double").alias("threshold"))
-        .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
-        .repartitionByRange(F.desc("threshold"))
-        .withColumn("range", F.spark_partition_id())
-        .write.parquet(path)
+    counts = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    counts = spark.read.schema("threshold double, pos bigint, neg bigint, range int").parquet(path)
-    per_range = counts.groupBy("range").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count(F.lit(1)).alias("rows")
-    )
-    # At most one row per shuffle partition, so this window stays small and the
-    # join below may be broadcast.
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    overall = Window.orderBy("range").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    offsets = per_range.select(
-        "range",
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("pos", "neg", "rows")],
-        *[F.sum(c).over(overall).alias(f"{c}_all") for c in ("pos", "neg")],
-    )
-    within = Window.partitionBy("range").orderBy(F.desc("threshold")).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    points = counts.join(F.broadcast(offsets), "range").select(
-        (F.col("rows_before") + F.count(F.lit(1)).over(within)).alias("position"),
+    totals = running_totals(counts, [F.desc("threshold")], ["pos", "neg"])
+    points = totals.select(
+        "position",
         "threshold",
-        _share(F.col("neg_before") + F.sum("neg").over(within), F.col("neg_all")).alias("fpr"),
-        _share(F.col("pos_before") + F.sum("pos").over(within), F.col("pos_all")).alias("tpr"),
+        _share(F.col("neg_upto"), F.col("neg_all")).alias("fpr"),
+        _share(F.col("pos_upto"), F.col("pos_all")).alias("tpr"),
     )
-    end = counts.agg((F.count(F.lit(1)) + 1).alias("last")).select(
+    end = totals.agg((F.count(F.lit(1)) + 1).alias("last")).select(
         F.inline(
             F.array(
                 F.struct(F.lit(0).cast("bigint").alias("position"), F.lit(0.0).alias("at")),

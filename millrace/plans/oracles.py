@@ -6,7 +6,7 @@ is a recursive CTE, Lloyd rounds are unrolled, the silhouette is pairwise.
 
 from __future__ import annotations
 
-from millrace.plans.queries import CLUSTERS, ORIGIN, START, TARGET, TIE_SHIFT
+from millrace.plans.queries import CLUSTERS, ORIGIN, SOLVER_PLACES, START, TARGET, TIE_SHIFT
 
 COORDS = ("x", "y", "z", "w")
 
@@ -180,8 +180,34 @@ union all
 select '(intercept)', {rounded('my - b1 * mx', 4)}, 100.0::double from slope"""
 
 
+# Normal equations of three centred features by Cramer's rule.
+LEAST_SQUARES = f"""with c as (
+  select var_pop(l_quantity) as a, covar_pop(l_quantity, l_discount) as b,
+         covar_pop(l_quantity, l_tax) as c, var_pop(l_discount) as d,
+         covar_pop(l_discount, l_tax) as e, var_pop(l_tax) as f,
+         covar_pop(l_quantity, l_extendedprice) as p, covar_pop(l_discount, l_extendedprice) as q,
+         covar_pop(l_tax, l_extendedprice) as r, avg(l_quantity) as m1, avg(l_discount) as m2,
+         avg(l_tax) as m3, avg(l_extendedprice) as my
+  from lineitem),
+det as (select *, a*(d*f - e*e) - b*(b*f - e*c) + c*(b*e - d*c) as v from c),
+w as (
+  select (p*(d*f - e*e) - b*(q*f - e*r) + c*(q*e - d*r)) / v as w1,
+         (a*(q*f - e*r) - p*(b*f - e*c) + c*(b*r - q*c)) / v as w2,
+         (a*(d*r - q*e) - b*(b*r - q*c) + p*(b*e - d*c)) / v as w3, m1, m2, m3, my
+  from det)
+select 'l_quantity' as term, {rounded('w1', 3)} as coefficient from w
+union all select 'l_discount', {rounded('w2', 3)} from w
+union all select 'l_tax', {rounded('w3', 3)} from w
+union all select '(intercept)', {rounded('my - w1 * m1 - w2 * m2 - w3 * m3', 3)} from w"""
+
 # --- classification --------------------------------------------------------
 
+# The L1 share of the penalty keeps every coefficient of these features at zero,
+# so the optimum is the centred log of the class shares and nothing else.
+SHARES = f"""{BINARY},
+train as (select * from binary_rows where {bucket('o_orderkey')} < 70),
+shares as (select avg(label) as p1, ln(avg(label) / (1 - avg(label))) / 2 as half from train)"""
+
 
 def roc(score: str) -> str:
     return f"""with {FIXED_RULE},
@@ -378,6 +404,10 @@ group by c_custkey""",
 {ranks('s', 'o_orderstatus', 'orders')}
 select o_orderkey, p.i::int as o_orderpriority_index, s.i::int as o_orderstatus_index
 from orders join p on p.v = o_orderpriority join s on s.v = o_orderstatus""",
+    "string_index_keys": f"""with customers as (
+  select o_orderkey, o_custkey::varchar as customer from orders),
+{ranks('r', 'customer', 'customers')}
+select o_orderkey, r.i::int as customer_index from customers join r on r.v = customer""",
     "one_hot": f"""with {ranks('p', 'o_orderpriority', 'orders')}
 select o_orderkey, {indicators('p', 4, 0)} from orders join p on p.v = o_orderpriority""",
     "pipeline_features": PIPELINE,
@@ -388,11 +418,19 @@ select 'l_quantity' as term,
 union all
 select '(intercept)', {rounded('regr_intercept(l_extendedprice, l_quantity)', 4)} from lineitem""",
     "linear_fit_ridge": RIDGE,
+    "linear_fit_features": LEAST_SQUARES,
     "regression_metrics": f"""select {rounded(f'sqrt(avg(power({_ERROR}, 2)))', 2)} as rmse,
   {rounded(f'avg(power({_ERROR}, 2))', 2)} as mse, {rounded(f'avg(abs({_ERROR}))', 2)} as mae,
   {rounded(f'1 - sum(power({_ERROR}, 2)) / (var_pop(l_extendedprice) * count(*))')} as r2
   from lineitem""",
     # classification
+    "logistic_fit": f"""with {SHARES}
+select k::int as class, j::int as position,
+       {rounded('case when j >= 0 then 0.0 when k = 1 then half else -half end', SOLVER_PLACES)} as coefficient
+from shares, range(2) a(k), range(-1, 10) b(j)""",
+    "logistic_score": f"""with {SHARES}
+select o_orderkey, label, (p1 > 0.5)::double as prediction, {rounded('p1', SOLVER_PLACES)} as probability
+from binary_rows, shares where {bucket('o_orderkey')} >= 70""",
     "confusion_matrix": f"""with {FIXED_RULE}
 select prediction, label, count(*) as n from fixed group by prediction, label""",
     "accuracy": f"""with {FIXED_RULE}

@@ -50,6 +50,8 @@ def _joined(column: str) -> Column:
 # where the last bit of a sum decides. Shifting by a thirtieth of the last place
 # moves such values off the boundary in both engines.
 TIE_SHIFT = 0.033
+# The logistic solver stops at a relative change of 1e-6.
+SOLVER_PLACES = 4
 
 
 def _rounded(*columns: str, places: int = 6) -> list[Column]:
@@ -507,6 +509,16 @@ def string_index(spark, sf):
     )
 
 
+@query
+def string_index_keys(spark, sf):
+    """A column with many values: ranked and joined, not held on the driver."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer")
+    )
+    indexed = features.index_categories(orders, ["customer"], max_on_driver=100)
+    return indexed.select("o_orderkey", F.col("customer_index").cast("int"))
+
+
 @query
 def one_hot(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
@@ -546,6 +558,16 @@ def linear_fit_ridge(spark, sf):
     return report.select("term", *_rounded("coefficient", places=4), "reg_param")
 
 
+@query
+def linear_fit_features(spark, sf):
+    """All three features, without regularisation."""
+    columns = inputs.REGRESSION_FEATURES
+    rows = features.assemble(inputs.regression(spark, sf), columns)
+    model = regression.fit_linear(rows.select("features", "label"))
+    report = regression.linear_report(spark, model, columns)
+    return report.select("term", *_rounded("coefficient", places=3))
+
+
 def _price_split(spark, sf):
     rows = features.assemble(inputs.regression(spark, sf), inputs.REGRESSION_FEATURES)
     return relational.hash_split(rows, F.concat_ws("-", "l_orderkey", "l_linenumber"))
@@ -591,13 +613,15 @@ def _order_classifier(spark, sf):
 
 @query
 def logistic_fit(spark, sf):
-    return classification.logistic_report(spark, _order_classifier(spark, sf)[0])
+    report = classification.logistic_report(spark, _order_classifier(spark, sf)[0])
+    return report.select("class", "position", *_rounded("coefficient", places=SOLVER_PLACES))
 
 
 @query
 def logistic_score(spark, sf):
     model, test = _order_classifier(spark, sf)
-    return classification.score_logistic(model, test, ["o_orderkey", "label"])
+    scored = classification.score_logistic(model, test, ["o_orderkey", "label"])
+    return scored.select("o_orderkey", "label", "prediction", *_rounded("probability", places=SOLVER_PLACES))
 
 
 @query

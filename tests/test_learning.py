@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.operators import classification, evaluation, features, regression, relational
+from millrace.operators.ordering import running_totals
 
 
 def pairs(spark, rows):
@@ -150,3 +151,33 @@ def test_a_callers_cache_survives_a_fit(spark):
     classification.fit_logistic(df, ["side"], ["x", "side"])
     assert df.is_cached and df.storageLevel.useMemory
     df.unpersist()
+
+
+def test_index_by_join_equals_the_indexer(spark):
+    rng = random.Random(4)
+    rows = [(i, f"k{int(rng.random() ** 2 * 40)}") for i in range(400)] + [(i, "hot") for i in range(400, 600)]
+    df = spark.createDataFrame(rows, "id int, c string")
+    few = {r.id: r.c_index for r in features.index_categories(df, ["c"]).collect()}
+    many = {r.id: r.c_index for r in features.index_categories(df, ["c"], max_on_driver=3).collect()}
+    assert many == few and len(many) == 600 and many[599] == 0
+
+
+def test_too_many_categories_for_a_model_are_refused(spark):
+    df = spark.range(50).withColumn("c", F.col("id").cast("string"))
+    with pytest.raises(ValueError, match="too many categories"):
+        features.one_hot(df, ["c"], limit=10)
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_running_totals(spark, coalesce):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        rows = spark.range(1000).select("id", (F.col("id") % 7).alias("v")).repartition(5)
+        got = running_totals(rows, [F.desc("id")], ["v"]).orderBy("position").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    total = 0
+    for i, r in enumerate(got, 1):
+        total += r.v
+        assert (r.position, r.id, r.v_upto) == (i, 1000 - i, total)
+    assert total == got[0].v_all
