@@ -31,12 +31,20 @@ def nearest_index_of(centroids: np.ndarray) -> Callable[[np.ndarray], np.ndarray
     package.
     """
 
+    slice_rows = max(1, 1_000_000 // len(centroids))
+
     def index(points: np.ndarray) -> np.ndarray:
-        squares = np.zeros((len(points), len(centroids)))
-        for dim in range(centroids.shape[1]):
-            squares += (points[:, dim, None] - centroids[None, :, dim]) ** 2
-        distances = np.sqrt(squares)
-        return np.where(np.isnan(distances), np.inf, distances).argmin(axis=1)
+        found = np.empty(len(points), dtype="int64")
+        # A slice at a time, so that many centroids need no more memory.
+        for start in range(0, len(points), slice_rows):
+            part = points[start : start + slice_rows]
+            squares = np.zeros((len(part), len(centroids)))
+            for dim in range(centroids.shape[1]):
+                squares += (part[:, dim, None] - centroids[None, :, dim]) ** 2
+            distances = np.sqrt(squares)
+            distances[np.isnan(distances)] = np.inf
+            found[start : start + slice_rows] = distances.argmin(axis=1)
+        return found
 
     return index
 

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from millrace.operators.skew import SMALL_ROWS, partitions_for
+
 
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
@@ -21,3 +23,11 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         yield df
     finally:
         df.unpersist()
+
+
+def in_few_tasks(held: DataFrame) -> DataFrame:
+    """A small cached DataFrame in as few tasks as its rows need, for loops whose
+    rounds would otherwise be spent starting tasks. No shuffle; a large one is
+    returned as it is."""
+    rows = held.count()
+    return held.coalesce(partitions_for(held, rows)) if rows <= SMALL_ROWS else held

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.caching import cached
+from millrace.operators.caching import cached, in_few_tasks
 from millrace.operators.features import feature_pipeline, require_categories
 
 # The solver parameters of the classification job.
@@ -40,7 +40,7 @@ def fit_logistic(
     )
     with cached(train) as held:
         require_categories(held, categorical)
-        return feature_pipeline(categorical, inputs, classifier).fit(held)
+        return feature_pipeline(categorical, inputs, classifier).fit(in_few_tasks(held))
 
 
 def logistic_report(spark: SparkSession, model: PipelineModel) -> DataFrame:

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import euclidean, nearest
 from millrace.functions.vectors import nearest_index_of
-from millrace.operators.caching import cached
-from millrace.operators.skew import SMALL_ROWS, partitions_for
+from millrace.operators.caching import cached, in_few_tasks
 
 # The parameters of the two library runs and of the Lloyd loop.
 MANY_CLUSTERS = 51
@@ -141,9 +140,7 @@ def lloyd(
     current = np.asarray(seeds, dtype=float)
     result = LloydResult(current.tolist(), coords)
     with cached(points.select([F.col(c).cast("double") for c in coords])) as held:
-        # Small data in few tasks: a round is then mostly the start of its tasks.
-        rows = held.count()
-        tasks = held.coalesce(partitions_for(held, rows)) if rows <= SMALL_ROWS else held
+        tasks = in_few_tasks(held)
         moved = np.inf
         while moved > stop_movement and (max_iter is None or result.rounds < max_iter):
             fresh, sizes = current.copy(), [0] * len(current)
@@ -173,7 +170,7 @@ def fit_kmeans(
         featuresCol=features, k=k, maxIter=max_iter, seed=seed, initMode=init_mode
     )
     with cached(vectors.select(features)) as held:
-        return estimator.fit(held)
+        return estimator.fit(in_few_tasks(held))
 
 
 def kmeans_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:

@@ -84,7 +84,12 @@ def _index_by_join(df: DataFrame, column: str) -> DataFrame:
     ranks = running_totals(counts, [F.desc("_n"), F.asc("_value")], []).select(
         "_value", (F.col("position") - 1).cast("double").alias(f"{column}_index")
     )
-    return df.join(ranks, F.col(column) == F.col("_value")).drop("_value")
+    missing = F.raise_error(F.lit(f"no category in column {column}"))
+    return (
+        df.join(ranks, F.col(column) == F.col("_value"), "left")
+        .withColumn(f"{column}_index", F.coalesce(f"{column}_index", missing))
+        .drop("_value")
+    )
 
 
 def index_categories(

@@ -1,6 +1,6 @@
 """Adjacency lists and breadth-first traversal of a directed edge list.
 
-Edges are (src, dst) and never travel with the traversal state: a round moves
+Edges are (src, dst), with a NULL dst for a source without edges, and never travel with the traversal state: a round moves
 only the frontier and the ids it reaches.
 """
 
@@ -63,7 +63,17 @@ def adjacency_list(edges: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return (
         pieces.groupBy("src", "block")
         .agg(F.flatten(F.collect_list(F.array_repeat("dst", F.col("here")))).alias("_all"))
-        .select(F.col("src").alias("node"), F.array_sort("_all").alias("neighbours"))
+        .select(
+            F.col("src").alias("node"), F.array_sort(F.array_compact("_all")).alias("neighbours")
+        )
+    )
+
+
+def edges_of(adjacency: DataFrame) -> DataFrame:
+    """(node, neighbours) -> (src, dst). A node without neighbours keeps one row
+    with a NULL destination, so that it stays a node of the graph."""
+    return adjacency.select(
+        F.col("node").alias("src"), F.explode_outer("neighbours").alias("dst")
     )
 
 
@@ -72,6 +82,7 @@ def node_ids(edges: DataFrame) -> DataFrame:
     return (
         edges.select(F.col("src").alias("node"))
         .union(edges.select("dst"))
+        .where(F.col("node").isNotNull())
         .distinct()
     )
 
@@ -184,7 +195,8 @@ def edge_store(edges: DataFrame, block_rows: int = BLOCK_ROWS) -> Iterator[EdgeS
     """
     spark = edges.sparkSession
     path = scratch_path(spark, "edges")
-    edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")).write.parquet(path)
+    ids = edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint"))
+    ids.where(F.col("dst").isNotNull()).write.parquet(path)
     table = spark.read.schema("src bigint, dst bigint").parquet(path)
     profile = profile_key(table, "src", block_rows)
     if profile.hot:
@@ -344,7 +356,7 @@ def progress(
         walk = traverse(store, start, target, max_rounds)
     # The last table is what the last round reached: not a frontier that ran.
     last = walk.hit_round or max_rounds
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_edges"))
+    degrees = edges.groupBy("src").agg(F.count("dst").alias("out_edges"))
     reached = walk.reached.where(F.col("distance") < last)
     # Sources never reached fall into the group with no distance, so that one
     # pass also gives the number of sources.

@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.operators.caching import cached
+from millrace.operators.caching import cached, in_few_tasks
 
 # The grid and the share of the training rows used for fitting.
 REG_PARAMS = (10000.0, 100.0, 0.1)
@@ -43,7 +43,7 @@ def tune_linear(
         seed=seed,
     )
     with cached(train.select("features", "label")) as held:
-        return tuning.fit(held)
+        return tuning.fit(in_few_tasks(held))
 
 
 def tuning_report(spark: SparkSession, model: TrainValidationSplitModel) -> DataFrame:

@@ -125,7 +125,7 @@ def origin_distance(dims: tuple[str, ...]) -> str:
 
 
 # More rounds than the loop needs to stop at the tested scale factors.
-UNROLLED = 40
+UNROLLED = 72
 
 SILHOUETTE = f"""
 with v as (select vec_id, label, embedding::double[] as e from embeddings),
@@ -348,6 +348,15 @@ select o_orderkey, len(f)::int as n_fields, array_to_string(f, '|') as fields fr
         reached(19),
         select=f"""select {START}::bigint as start, {TARGET}::bigint as target,
   (min(distance) + 1)::int as degree,
+  count(*) filter (where distance = (
+    select min(distance) from reached join edges on src = node where dst = {TARGET}))
+    as directions
+  from reached join edges on src = node where dst = {TARGET}""",
+    ),
+    "separation_from_file": graph(
+        reached(19),
+        select=f"""select {START}::bigint as start, {TARGET}::bigint as target,
+  (min(distance) + 1)::int as degree,
   count(*) filter (where distance = (
     select min(distance) from reached join edges on src = node where dst = {TARGET}))
     as directions

@@ -357,6 +357,15 @@ def degree_of_separation(spark, sf):
     return graph.degree_of_separation(inputs.edges(spark, sf), START, TARGET)
 
 
+@query
+def separation_from_file(spark, sf):
+    """Both graph jobs in a row: adjacency file out, degree of separation in."""
+    path = scratch_path(spark, "adjacency")
+    sinks.write_adjacency(_adjacency(spark, sf), path)
+    edges = graph.edges_of(text.parse_adjacency(text.read_lines(spark, path)))
+    return graph.degree_of_separation(edges, START, TARGET)
+
+
 @query
 def cycle_length(spark, sf):
     """Start and target the same: the shortest way back."""

@@ -199,3 +199,18 @@ def test_merge_takes_least_distance_and_darkest_colour(spark, block_rows):
 
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("block_rows", [1, 100_000])
+def test_nodes_without_neighbours_stay_in_the_graph(spark, block_rows):
+    rows = [(1, [2, 2]), (2, []), (5, [])]
+    adjacency = spark.createDataFrame(rows, "node bigint, neighbours array<bigint>")
+    pairs = graph.edges_of(adjacency)
+    got = graph.distances_from(pairs, 1, block_rows=block_rows).collect()
+    assert {r.node: r.distance for r in got} == {1: 0, 2: 1, 5: None}
+    assert graph.degree_of_separation(pairs, 1, 2, block_rows=block_rows).first().directions == 2
+    back = graph.adjacency_list(pairs, block_rows).collect()
+    assert Counter((r.node, n) for r in back for n in r.neighbours) == {(1, 2): 2}
+    assert {r.node for r in back} == {1, 2, 5}
+    # Three rows of state and two out-edges, then the node reached.
+    assert sorted(tuple(r) for r in graph.progress(pairs, 1).collect()) == [(1, 1, 2, 5), (2, 1, 0, 3)]

@@ -160,6 +160,9 @@ def test_index_by_join_equals_the_indexer(spark):
     few = {r.id: r.c_index for r in features.index_categories(df, ["c"]).collect()}
     many = {r.id: r.c_index for r in features.index_categories(df, ["c"], max_on_driver=3).collect()}
     assert many == few and len(many) == 600 and many[599] == 0
+    missing = df.union(spark.createDataFrame([(0, None)], "id int, c string"))
+    with pytest.raises(Exception, match="no category"):
+        features.index_categories(missing, ["c"], max_on_driver=3).collect()
 
 
 def test_too_many_categories_for_a_model_are_refused(spark):
