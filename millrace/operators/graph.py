@@ -212,6 +212,8 @@ def edge_store(edges: DataFrame, block_rows: int = BLOCK_ROWS) -> Iterator[EdgeS
         .sortWithinPartitions(*keys)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    # The planner knows the partitioning of a cached table only once it is filled.
+    held.count()
     try:
         yield EdgeStore(held, profile)
     finally:
