@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chosen_path, sharding, substrings, token_files, topk, toxicity
+from millrace.llm import bpe, chosen_path, licenses, mixing, outliers, sharding, substrings, token_files, topk, toxicity
+from millrace.llm.oracles import ORACLES
 from millrace.sources.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -28,6 +29,24 @@ def plain_words(text: str = "text") -> Column:
     return F.regexp_replace(trimmed, r"[\x20\x09-\x0D]+", " ")
 
 
+# What the mix should be made of, in parts; a name that is not listed has one.
+MIX_WEIGHTS = {
+    "domain": {"web": 4, "books": 3, "code": 2, "news": 1},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+}
+
+
+def source_domain() -> Column:
+    """A domain for each source; the tables have none of their own."""
+    digit = F.substring(F.md5(F.coalesce(F.col("source"), F.lit("")).cast("binary")), 1, 1)
+    return F.when(digit < "4", "web").when(digit < "8", "books").when(digit < "c", "code").otherwise("news")
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, mixed by weights."""
+    return mixing.select_documents(_table(spark, sf_dir, "documents"), source_domain(), MIX_WEIGHTS)
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     rows = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, keep=["doc_id"]), path)
@@ -59,12 +78,25 @@ def op3_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = toxicity.learn_and_score(docs, _table(spark, sf_dir, "labels"), keep=["doc_id"])
     return rows.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = outliers.judge(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
@@ -88,30 +120,14 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_flow_resharding": op3_flow_resharding,
+    "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
+    "op6_robust_outliers": op6_robust_outliers,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_files": op9_token_files,
     "op10_exact_top_k": op10_exact_top_k,
 }
-
-ORACLES = {
-    "op10_exact_top_k": """
-        with v as (
-            select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as w
-            from embeddings
-            where vec_id is not null and embedding is not null and len(embedding) > 0
-              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-        ), pairs as (
-            select q.vec_id as query_id, c.vec_id,
-                   list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2]))::bigint as score
-            from v q join v c on q.vec_id <> c.vec_id
-            where q.vec_id % 20 = 0
-        ), ranked as (
-            select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from pairs
-        )
-        select query_id, rank, vec_id, score from ranked where rank <= 20
-    """,
-}
