@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chosen_path, substrings, toxicity
-from millrace.llm.queries import tokenizer_path
+from millrace.llm import bpe, chosen_path, mixing, substrings, toxicity
+from millrace.llm.queries import MIX_WEIGHTS, source_domain, tokenizer_path
 from millrace.sources.scratch import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,6 +34,12 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     )
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as are left, by the weights of the mix; a document comes once
+    for each epoch that uses it."""
+    return mixing.mix(docs.select(*COLUMNS), source_domain(), MIX_WEIGHTS).select(*COLUMNS)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     rows = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path(), keep=["doc_id", "lang", "source"])
@@ -46,6 +52,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_copies),
     ("substrings", drop_repeated_passages),
+    ("mixing", mix_sources),
     ("encoding", encode),
 ]
 
