@@ -9,17 +9,20 @@ meet in some node of most trees; `TREES` independent trees make a miss of a pair
 at the threshold a matter of 1 in 100,000 or less.
 
 Nodes are compared from depth `START` on. Within a node documents of one known
-component need no comparison, so a large group of copies costs a comparison with
-its node's first document, not all its pairs:
-
-1. Each document is compared with the first document of one of its nodes.
-2. Nodes that still hold several components: small ones are compared
-   exhaustively across components, large ones with their first document, and
-   then their documents branch one level deeper. At `DEEPEST` whatever is left is
-   compared exhaustively across components.
-
-A pair's 64-bit sketch (one bit per minwise token) drops pairs that are far off
-(6 standard deviations); the rest is confirmed on the full sets.
+component need no comparison, so most of a large group of copies costs a comparison
+with a hub, not all its pairs:
+
+1. Each document is compared with the hub of one of its nodes, the member that
+   shares nodes with most others.
+2. Nodes that still hold several components: those of at most `LEAF` members are
+   compared exhaustively; larger ones with their hub, and then their documents
+   branch one level deeper. At `DEEPEST` whatever is left is compared exhaustively,
+   in pairs of blocks of `LEAF` members.
+
+Before a hub is compared, 64-bit sketches (one bit per minwise token) drop pairs
+that are far off (6 standard deviations). All links are confirmed on the full sets,
+of which a task gets those of its nodes once; it reports only links that join
+components, so dense groups do not multiply.
 """
 
 from __future__ import annotations
@@ -34,12 +37,15 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrays import Words, mix, span_hashes, text_runs
 from millrace.llm.components import _stored, components
+from millrace.llm.frames import blocks_for
 
 COORDINATES = 64
 TREES = 12
 START = 3
-DEEPEST = 7
-LEAF = 12
+DEEPEST = 6
+LEAF = 512
+# Rows that a task compares at once, in whole block pairs.
+GROUP_ROWS = 2000
 # Ids up to this many (16 MB) are broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 _RUN_BYTES = 2 << 20
@@ -159,6 +165,59 @@ def _sets(size: int):
     return run
 
 
+def _find(parent: dict[int, int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = x = parent[parent[x]]
+    return x
+
+
+def _links(ids, names, left, right, sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Links that join different components among the members of one block pair."""
+    parent = {n: n for n in names}
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    holders = owner[order]  # by token
+    first = np.searchsorted(token[order], np.arange(token.max() + 2))
+    edges = np.r_[0, np.cumsum(sizes)]
+    for i in range(len(sets)):
+        if right[i]:
+            continue
+        own = token[edges[i] : edges[i + 1]]
+        shared = np.bincount(
+            np.concatenate([holders[a:b] for a, b in zip(first[own].tolist(), first[own + 1].tolist())]), minlength=len(sets)
+        )
+        linked = 100 * shared >= percent * (sizes[i] + sizes - shared)
+        for j in np.flatnonzero(linked & right if left[i] else linked).tolist():
+            a, b = _find(parent, names[i]), _find(parent, names[j])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                yield ids[i], ids[j]
+
+
+def _compare(percent: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("pair", "ascending"), ("id", "ascending")]).combine_chunks()
+        pairs = np.asarray(table["pair"])
+        cuts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1], True])
+        ids, names = np.asarray(table["id"]), np.asarray(table["component"])
+        left, right = (np.asarray(table[c]) for c in ("left", "right"))
+        lists = table["shingles"].chunk(0)
+        offsets, values = np.asarray(lists.offsets), np.asarray(lists.values)
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if (names[a:b] == names[a]).all():
+                continue
+            sets = [values[offsets[k] : offsets[k + 1]] for k in range(a, b)]
+            found += _links(ids[a:b].tolist(), names[a:b].tolist(), left[a:b], right[a:b], sets, percent)
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return run
+
+
 class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
@@ -185,45 +244,65 @@ class _Join:
         )
 
     def open_nodes(self, nodes: DataFrame) -> DataFrame:
-        """Rows of nodes that hold several components, with the node's size and
-        first document. Totals are combined before the shuffle."""
+        """Rows of nodes that hold several components, with the node's size. Of nodes
+        with the same members one is enough. Totals are combined before the shuffle."""
         rows = self.named(nodes)
-        totals = (
-            rows.groupBy("node")
-            .agg(
-                F.count(F.lit(1)).alias("size"),
-                F.min("component").alias("least"),
-                F.max("component").alias("most"),
-                F.min("id").alias("hub"),
-            )
-            .where("least < most")
-            .select("node", "size", "hub")
+        totals = rows.groupBy("node").agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.min("id").alias("low"),
+            F.max("id").alias("high"),
+            F.bit_xor(F.xxhash64("id")).alias("mark"),
         )
-        return _stored(rows.join(totals, "node"), "nodes")
+        once = totals.where("least < most").groupBy("size", "low", "high", "mark").agg(F.min("node").alias("node"))
+        return _stored(rows.join(once.select("node", "size"), "node"), "nodes")
 
     def with_hub(self, rows: DataFrame) -> DataFrame:
-        """Pairs of each row and its node's first document that may be links."""
-        hubs = rows.where("id = hub").dropDuplicates(["node"]).alias("y")
+        """(a, b, score): each row's document b and the hub a of its node, where they
+        may be linked. A hub is the member that shares nodes with most others, which
+        in a group of near copies is one close to their common origin."""
+        scores = rows.groupBy("id").agg(F.sum("size").alias("score"))
+        best = F.max(F.struct("score", (-F.col("id")).alias("_order"), "id", "n", "sketch", "component")).alias("hub")
+        hubs = rows.join(scores, "id").groupBy("node").agg(best).select("node", "hub.*").alias("y")
         return (
             rows.alias("x")
             .join(hubs, F.col("x.node") == F.col("y.node"))
             .where("x.component <> y.component")
             .where(self.near("x", "y"))
-            .select(F.col("y.id").alias("a"), F.col("x.id").alias("b"))
+            .select(F.col("y.id").alias("a"), F.col("x.id").alias("b"), "y.score")
         )
 
-    def exhaustive(self, rows: DataFrame) -> DataFrame:
-        x, y = rows.alias("x"), rows.alias("y")
-        return (
-            x.join(y, F.col("x.node") == F.col("y.node"))
-            .where("x.id < y.id and x.component <> y.component")
-            .where(self.near("x", "y"))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    def compare(self, rows: DataFrame) -> None:
+        """Compare all members of each node across components, in blocks of at most
+        about `LEAF` members, and extend the links. A block pair of a node is compared
+        within one task, which reports no more links than join its components."""
+        wide = rows.withColumn("_blocks", F.ceil(F.col("size") / LEAF).cast("int"))
+        own = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
+        keyed = wide.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
+        keyed = keyed.select(
+            F.xxhash64("node", low, high).alias("pair"),
+            (F.col("_own") < F.col("_other")).alias("left"),
+            (F.col("_own") > F.col("_other")).alias("right"),
+            "id",
+            "component",
         )
+        keyed = _stored(keyed, "keyed")
+        groups = blocks_for(keyed.count(), GROUP_ROWS)
+        # Many pairs of blocks share a group, so small nodes cost little each.
+        found = (
+            keyed.join(self.sets, "id")
+            .withColumn("_group", F.pmod(F.col("pair"), F.lit(groups)))
+            .groupBy("_group")
+            .applyInArrow(_compare(self.percent), "a bigint, b bigint")
+        )
+        self.extend(found)
 
     def confirm(self, pairs: DataFrame) -> None:
         """Compare the full sets of the pairs and extend the links and components."""
-        pairs = _stored(pairs.distinct(), "pairs")
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = _stored(ordered.distinct(), "pairs")
         if pairs.isEmpty():
             return
         left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
@@ -235,6 +314,9 @@ class _Join:
             .where(100 * both >= self.percent * (F.size("of_a") + F.size("of_b") - both))
             .select("a", "b")
         )
+        self.extend(found)
+
+    def extend(self, found: DataFrame) -> None:
         found = _stored(found, "found")
         self.links = found if self.links is None else self.links.unionByName(found)
         if not found.isEmpty():
@@ -291,14 +373,15 @@ def near_duplicates(
     rows = join.open_nodes(tokens.mapInArrow(_branch(threshold, start, trees), _NODES))
     if not rows.isEmpty():
         join.load_sets(rows)
-        join.confirm(join.with_hub(rows).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        join.confirm(join.with_hub(rows).groupBy("b").agg(F.max_by("a", F.struct("score", -F.col("a"))).alias("a")))
         for depth in range(start, deepest + 1):
             rows = join.open_nodes(rows.select("node", "id", "n", "sketch"))
             small = rows if depth == deepest else rows.where(F.col("size") <= leaf)
+            join.compare(small)
             large = rows.where(F.col("size") > leaf)
-            join.confirm(join.exhaustive(small).unionByName(join.with_hub(large)))
             if depth == deepest or large.isEmpty():
                 break
+            join.confirm(join.with_hub(large))
             deeper = large.select("node", F.col("id").alias("_id")).join(
                 tokens, F.col("_id") == F.col("id")
             ).select("node", "id", "n", "sketch", "minwise")
