@@ -137,14 +137,23 @@ def _factor(moments: DataFrame) -> DataFrame:
 
 
 def _start(stats: DataFrame) -> DataFrame:
-    """Centres at the medians, a diagonal factor from median deviations."""
-    medians = stats.groupBy("grp").agg(*[F.percentile(x, 0.5).alias(f"c{x[1]}") for x in _VECTOR])
-    off = stats.join(medians, "grp").select("grp", *[F.abs(F.col(x) - F.col(f"c{x[1]}")).alias(x) for x in _VECTOR])
-    spread = off.groupBy("grp").agg(
-        *[F.greatest(1.4826 * F.percentile(x, 0.5), F.lit(float(LEAST_SPREAD[i]))).alias(f"l{i}{i}") for i, x in enumerate(_VECTOR)]
+    """Centres at the medians, a diagonal factor from median deviations.
+
+    Both are taken from counts per value, which are combined before they move, so
+    the rows of a large group are never in one task."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("x")) for i, x in enumerate(_VECTOR)])
+    counts = stats.select("grp", F.inline(pairs)).groupBy("grp", "i", "x").agg(F.count(F.lit(1)).alias("n"))
+    counts = _stored(counts, "values")
+    medians = _stored(counts.groupBy("grp", "i").agg(F.percentile("x", 0.5, F.col("n")).alias("c")), "medians")
+    off = counts.join(medians, ["grp", "i"]).select("grp", "i", F.abs(F.col("x") - F.col("c")).alias("d"), "n")
+    spread = off.groupBy("grp", "i").agg(F.percentile("d", 0.5, F.col("n")).alias("l"))
+    both = medians.join(spread, ["grp", "i"])
+    own = lambda column, i: F.max(F.when(F.col("i") == i, F.col(column)))
+    fit = both.groupBy("grp").agg(
+        *[own("c", i).alias(f"c{i}") for i in range(4)],
+        *[F.greatest(1.4826 * own("l", i), F.lit(float(LEAST_SPREAD[i]))).alias(f"l{i}{i}") for i in range(4)],
     )
-    zero = {f"l{i}{j}": F.lit(0.0) for i in range(4) for j in range(i)}
-    return medians.join(spread, "grp").withColumns(zero)
+    return fit.withColumns({f"l{i}{j}": F.lit(0.0) for i in range(4) for j in range(i)})
 
 
 def estimates(stats: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
