@@ -36,6 +36,14 @@ def seed_rows(
     return [list(r) for r in seeds.orderBy(order_by).select(*coords).collect()]
 
 
+def _distance_places(coords: Sequence[str], distance_cols: Sequence[str] | None) -> list[int]:
+    """Positions in `coords` of the coordinates that count as distance."""
+    unknown = set(distance_cols or ()) - set(coords)
+    if unknown:
+        raise ValueError(f"not among the coordinates: {sorted(unknown)}")
+    return [i for i, c in enumerate(coords) if c in (distance_cols or coords)]
+
+
 def assign(
     points: DataFrame,
     centroids: Centroids,
@@ -43,10 +51,9 @@ def assign(
     distance_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add `cluster`, the index of the nearest centroid. No shuffle."""
-    used = [c for c in coords if c in (distance_cols or coords)]
-    at = [list(coords).index(c) for c in used]
+    at = _distance_places(coords, distance_cols)
     fixed = [[row[i] for i in at] for row in centroids]
-    return points.withColumn("cluster", nearest([F.col(c) for c in used], fixed))
+    return points.withColumn("cluster", nearest([F.col(coords[i]) for i in at], fixed))
 
 
 def cluster_means(assigned: DataFrame, coords: Sequence[str], key: str = "cluster") -> DataFrame:
@@ -136,7 +143,7 @@ def lloyd(
     points per round; only K rows per round reach the driver.
     """
     coords = list(coords)
-    use = [i for i, c in enumerate(coords) if c in (distance_cols or coords)]
+    use = _distance_places(coords, distance_cols)
     current = np.asarray(seeds, dtype=float)
     result = LloydResult(current.tolist(), coords)
     with cached(points.select([F.col(c).cast("double") for c in coords])) as held:

@@ -33,8 +33,8 @@ def typed_pair(df: DataFrame, prediction: str = "prediction", label: str = "labe
 
 
 def drop_all_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows in which every listed column is 0."""
-    return df.where(~reduce(and_, [F.col(c) == 0 for c in columns]))
+    """Drop rows in which every listed column is 0. NULL is not 0."""
+    return df.where(~reduce(and_, [F.coalesce(F.col(c) == 0, F.lit(False)) for c in columns]))
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -67,7 +67,8 @@ def random_split(
 def hash_split(
     df: DataFrame, key: str | Column, train_percent: int = 70
 ) -> tuple[DataFrame, DataFrame]:
-    """Split by the md5 bucket of a key: a filter, the same on every run."""
+    """Split by the md5 bucket of a key: a filter, the same on every run. Rows
+    with a NULL key are in bucket 0."""
     column = F.col(key) if isinstance(key, str) else key
-    bucket = hash_bucket(column)
+    bucket = F.coalesce(hash_bucket(column), F.lit(0))
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)

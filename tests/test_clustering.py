@@ -113,6 +113,18 @@ def test_zero_points_are_dropped(spark):
     assert [r.id for r in relational.drop_all_zero(frame, COORDS).collect()] == [1]
 
 
+def test_null_points_are_no_zero_points(spark):
+    frame = spark.createDataFrame([(0, None, 0.0), (1, 0.0, 0.0), (2, None, None)], "id int, x double, y double")
+    assert sorted(r.id for r in relational.drop_all_zero(frame, ["x", "y"]).collect()) == [0, 2]
+
+
+def test_unknown_distance_columns_are_errors(spark):
+    frame = points(spark, [[0, 0, 0, 0], [1, 9, 0, 0]])
+    for call in (clustering.assign, clustering.lloyd):
+        with pytest.raises(ValueError):
+            call(frame, [[0, 0, 0, 0]], COORDS, distance_cols=["no such"])
+
+
 def test_library_and_loop_agree_on_separated_groups(spark):
     rows = blobs(400)
     frame = points(spark, rows)

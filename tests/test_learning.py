@@ -137,6 +137,12 @@ def test_hash_split_is_disjoint_and_complete(spark):
     assert again == a
 
 
+def test_hash_split_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None,), (1,)], "id bigint")
+    train, test = relational.hash_split(df, "id")
+    assert [r.id for r in train.unionByName(test).where("id is null").collect()] == [None]
+
+
 def test_samples_have_the_exact_size(spark):
     df = spark.range(100)
     assert relational.sample_exact(df, 10, 1).count() == 10
