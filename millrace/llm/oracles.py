@@ -131,7 +131,51 @@ def _licenses() -> str:
         from based left join found using (doc_id)"""
 
 
+_FILTER_AUDIT = rf"""
+    with d as (
+        select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+               regexp_extract_all(coalesce(text, ''), '{_WORD}') as w
+        from documents
+    ), l as (
+        select doc_id, max((coalesce(quality, 0) = 1)::int) as good, max((coalesce(toxic, 0) = 1)::int) as toxic
+        from labels group by doc_id
+    ), judged as (
+        select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, [
+            len(w) < 50,
+            100 * len(list_distinct(w)) < 65 * len(w),
+            100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+            regexp_matches(t, '[#$%&*|]'),
+            coalesce(d.doc_id > min(d.doc_id) over (partition by t), false)] as failed
+        from d left join l using (doc_id)
+    ), letters as (
+        select unnest(range(1, 6))::int as f
+    ), orders as (
+        select [a.f, b.f, c.f, d.f, e.f] as o, row_number() over () as nr
+        from letters a, letters b, letters c, letters d, letters e
+        where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+    ), masks as (
+        select part, failed, count(*) as n, sum(good) as good, sum(toxic) as toxic from judged group by part, failed
+    ), removed_at as (
+        select m.*, nr, o, coalesce(list_position(list_transform(o, lambda f: failed[f]), true), 6) as hit
+        from masks m, orders
+    ), steps as (
+        select part, array_to_string(list_transform(o, lambda f: chr(64 + f)), '') as filter_order,
+               s.f as step, o[s.f] as letter,
+               sum(n) filter (hit > s.f) as kept,
+               sum(n) filter (hit = s.f) as removed,
+               sum(n) filter (hit < s.f and failed[o[s.f]]) as redundant,
+               sum(n) filter (failed[o[s.f]] and len(list_filter(failed, lambda x: x)) = 1) as unique_fails,
+               sum(good) filter (hit = s.f) as good_lost,
+               sum(toxic) filter (hit = s.f) as toxic_lost
+        from removed_at, letters s group by part, o, s.f
+    )
+    select part, filter_order, step, {', '.join(f'coalesce({c}, 0)::bigint as {c}' for c in ('kept', 'removed', 'redundant', 'unique_fails', 'good_lost', 'toxic_lost'))},
+           coalesce(sum(removed) over (partition by part, letter), 0)::bigint as shapley
+    from steps"""
+
+
 ORACLES = {
+    "op11_filter_interaction": _FILTER_AUDIT,
     "op1_source_mixing": _mixing(),
     "op4_license_scan": _licenses(),
     "op10_exact_top_k": """

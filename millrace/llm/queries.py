@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chosen_path, licenses, mixing, outliers, sharding, substrings, token_files, topk, toxicity
+from millrace.llm import bpe, chosen_path, filter_audit, licenses, mixing, outliers, sharding, substrings, token_files, topk, toxicity
 from millrace.llm.oracles import ORACLES
 from millrace.sources.scratch import scratch_path
 
@@ -119,6 +119,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -130,4 +134,5 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_files": op9_token_files,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_filter_interaction": op11_filter_interaction,
 }
