@@ -174,7 +174,47 @@ _FILTER_AUDIT = rf"""
     from steps"""
 
 
+_LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_SHARE = "1 + (1000000000::hugeint * ({n} + 5)) // ({total} + 5 * v)"
+_SOURCE_DIVERGENCE = rf"""
+    with d as (
+        select row_number() over () as nr, coalesce(lang, '') as lang, coalesce(source, '') as source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+        from documents
+    ), w as (
+        select nr, lang, source, unnest(regexp_extract_all(t, '{_LETTERS}')) as term from d
+    ), kept as (
+        select lang, term, count(*) as q from w group by lang, term having count(distinct nr) >= 30
+    ), langs as (
+        select lang, count(k.term) as v, coalesce(sum(q), 0) as nl from (select distinct lang from d) left join kept k using (lang) group by lang
+    ), groups as (
+        select distinct lang, source from d
+    ), counted as (
+        select lang, source, term, count(*) as n from w join kept using (lang, term) group by lang, source, term
+    ), dense as (
+        select g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint as n, k.q::hugeint as q, v::hugeint as v, nl::hugeint as nl,
+               (sum(coalesce(c.n, 0)) over (partition by g.lang, g.source))::hugeint as ns
+        from groups g join kept k using (lang) join langs using (lang)
+        left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+    ), shares as (
+        select lang, source, term, n, {_SHARE.format(n='n', total='ns')} as p, {_SHARE.format(n='q', total='nl')} as q from dense
+    ), pairs as (
+        select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+        from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+        group by all
+    ), every as (
+        select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+        from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+        union all
+        select lang, source, 'term', term, (p - q)::bigint from shares where n > 0 and p > q
+    )
+    select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+    from every qualify part = 'pair' or rank <= 50"""
+
+
 ORACLES = {
+    "op13_source_divergence": _SOURCE_DIVERGENCE,
     "op11_filter_interaction": _FILTER_AUDIT,
     "op1_source_mixing": _mixing(),
     "op4_license_scan": _licenses(),
