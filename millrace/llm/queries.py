@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chosen_path, divergence, filter_audit, licenses, mixing, outliers, sharding, substrings, token_files, topk, toxicity
+from millrace.llm import bpe, chosen_path, count_tree, divergence, filter_audit, licenses, mixing, outliers, sharding, substrings, token_files, topk, toxicity
 from millrace.llm.oracles import ORACLES
 from millrace.sources.scratch import scratch_path
 
@@ -123,6 +123,10 @@ def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tree.jaccard_join(_table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
@@ -139,5 +143,6 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_exact_top_k": op10_exact_top_k,
     "op11_filter_interaction": op11_filter_interaction,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_source_divergence": op13_source_divergence,
 }
