@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from millrace.operators.skew import SMALL_ROWS, partitions_for
+ROWS_PER_TASK = 50_000
 
 
 @contextmanager
@@ -26,8 +28,15 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def in_few_tasks(held: DataFrame) -> DataFrame:
-    """A small cached DataFrame in as few tasks as its rows need, for loops whose
-    rounds would otherwise be spent starting tasks. No shuffle; a large one is
-    returned as it is."""
-    rows = held.count()
-    return held.coalesce(partitions_for(held, rows)) if rows <= SMALL_ROWS else held
+    """A cached DataFrame in no more tasks than its rows need, for loops whose
+    rounds would otherwise be spent starting tasks. No shuffle; answers must not
+    depend on how rows lie in the tasks (see placed_by_content)."""
+    return held.coalesce(max(1, math.ceil(held.count() / ROWS_PER_TASK)))
+
+
+def placed_by_content(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows placed and sorted by the hash of some columns: the same layout on
+    every machine, for estimators that draw rows by partition."""
+    mark = F.xxhash64(*columns)
+    parts = max(1, math.ceil(df.count() / ROWS_PER_TASK))
+    return df.withColumn("_mark", mark).repartition(parts, "_mark").sortWithinPartitions("_mark").drop("_mark")

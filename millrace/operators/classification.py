@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.caching import cached, in_few_tasks
-from millrace.operators.features import feature_pipeline, require_categories
+from millrace.operators.features import feature_pipeline
 
 # The solver parameters of the classification job.
 MAX_ITER = 10
 REG_PARAM = 0.3
 ELASTIC_NET = 0.8
 FAMILY = "multinomial"
+# The solver's own default.
+TOLERANCE = 1e-6
 
 
 def fit_logistic(
@@ -29,6 +31,7 @@ def fit_logistic(
     reg_param: float = REG_PARAM,
     elastic_net: float = ELASTIC_NET,
     family: str = FAMILY,
+    tolerance: float = TOLERANCE,
 ) -> PipelineModel:
     """Encoders and classifier, all fitted on the training rows."""
     classifier = LogisticRegression(
@@ -37,9 +40,9 @@ def fit_logistic(
         regParam=reg_param,
         elasticNetParam=elastic_net,
         family=family,
+        tol=tolerance,
     )
     with cached(train) as held:
-        require_categories(held, categorical)
         return feature_pipeline(categorical, inputs, classifier).fit(in_few_tasks(held))
 
 
@@ -55,9 +58,11 @@ def logistic_report(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 
 def score_logistic(model: PipelineModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The kept columns with `prediction` and the probability of class 1."""
+    """The kept columns with `prediction`, the probability of class 1 (NULL if the
+    model knows one class only) and those of all classes."""
     return model.transform(rows).select(
         *keep,
         "prediction",
         F.get(vector_to_array("probability"), 1).alias("probability"),
+        vector_to_array("probability").alias("probabilities"),
     )

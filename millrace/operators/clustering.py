@@ -7,13 +7,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import euclidean, nearest
 from millrace.functions.vectors import nearest_index_of
-from millrace.operators.caching import cached, in_few_tasks
+from millrace.operators.caching import cached, in_few_tasks, placed_by_content
 
 # The parameters of the two library runs and of the Lloyd loop.
 MANY_CLUSTERS = 51
@@ -91,6 +93,11 @@ class LloydResult:
     def rounds(self) -> int:
         return len(self.shifts)
 
+    def moving(self, stop_movement: float, max_iter: int | None) -> bool:
+        """Whether another round is due."""
+        settled = bool(self.shifts) and self.shifts[-1] <= stop_movement
+        return not settled and (max_iter is None or self.rounds < max_iter)
+
     def centers(self, spark: SparkSession) -> DataFrame:
         """(cluster, coordinates...), K rows."""
         rows = [(i, *map(float, c)) for i, c in enumerate(self.centroids)]
@@ -98,27 +105,35 @@ class LloydResult:
         return spark.createDataFrame(rows, f"cluster int, {columns}")
 
 
+# Key of the rows that count what no cluster takes.
+_INVALID = -1
+
+
 def _round_sums(points: DataFrame, centroids: np.ndarray, use: list[int]) -> DataFrame:
-    """Per cluster: member count and coordinate sums, K rows at most.
+    """Per cluster: member count and coordinate sums, K rows at most, and under
+    `_INVALID` the number of points with a coordinate that is no number.
 
     Each task assigns its Arrow batches and adds them up, so that it hands at
-    most K rows to the shuffle however many points one cluster holds.
+    most K + 1 rows to the shuffle however many points one cluster holds.
     """
     k, d = centroids.shape
     nearest_index = nearest_index_of(centroids[:, use])
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, sums = np.zeros(k, dtype="int64"), np.zeros((k, d))
+        counts, sums, invalid = np.zeros(k, dtype="int64"), np.zeros((k, d)), 0
         for batch in batches:
             rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            usable = ~np.isnan(rows).any(axis=1)
+            invalid += len(rows) - int(usable.sum())
+            rows = rows[usable]
             index = nearest_index(rows[:, use])
             counts += np.bincount(index, minlength=k)
             for dim in range(d):
                 sums[:, dim] += np.bincount(index, weights=rows[:, dim], minlength=k)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int32()), pa.array(counts[seen])]
-            + [pa.array(sums[seen, dim]) for dim in range(d)],
+            [pa.array(np.r_[seen, -1], pa.int32()), pa.array(np.r_[counts[seen], invalid])]
+            + [pa.array(np.r_[sums[seen, dim], 0.0]) for dim in range(d)],
             names=["cluster", "n", *[f"s{dim}" for dim in range(d)]],
         )
 
@@ -127,6 +142,22 @@ def _round_sums(points: DataFrame, centroids: np.ndarray, use: list[int]) -> Dat
     return points.mapInArrow(partial, schema).groupBy("cluster").sum("n", *sums)
 
 
+def move(result: LloydResult, sums: list[tuple], use: list[int], invalid: str) -> None:
+    """Take the means of one round (cluster, n, sums...) as new centroids of `result`.
+    An empty cluster keeps its centroid."""
+    current = np.asarray(result.centroids)
+    fresh, sizes = current.copy(), [0] * len(current)
+    for cluster, n, *totals in sums:
+        if cluster == _INVALID:
+            if n and invalid == "error":
+                raise ValueError(f"{n} points have a coordinate that is NULL or not a number")
+            continue
+        sizes[cluster] = n
+        fresh[cluster] = np.array(totals) / n
+    result.shifts.append(float(np.sqrt(((fresh - current)[:, use] ** 2).sum(axis=1)).sum()))
+    result.centroids, result.sizes = fresh.tolist(), sizes
+
+
 def lloyd(
     points: DataFrame,
     seeds: Centroids,
@@ -134,6 +165,8 @@ def lloyd(
     distance_cols: Sequence[str] | None = None,
     max_iter: int | None = None,
     stop_movement: float = STOP_MOVEMENT,
+    invalid: str = "error",
+    folder: str | None = None,
 ) -> LloydResult:
     """Assign, average, repeat until the centroids together move at most
     `stop_movement` or `max_iter` rounds are done.
@@ -141,26 +174,68 @@ def lloyd(
     `distance_cols` limits which coordinates count as distance; all are
     averaged. An empty cluster keeps its centroid. One pass over the cached
     points per round; only K rows per round reach the driver.
+
+    A point with a NULL or NaN coordinate is an error, or left out if `invalid` is
+    "drop". With a `folder` every round's centroids are kept there, and a run that
+    finds rounds in it goes on after the last; `max_iter` counts them.
     """
+    if invalid not in ("error", "drop"):
+        raise ValueError(f"unknown treatment of invalid points: {invalid}")
     coords = list(coords)
     use = _distance_places(coords, distance_cols)
-    current = np.asarray(seeds, dtype=float)
-    result = LloydResult(current.tolist(), coords)
+    result = LloydResult(np.asarray(seeds, dtype=float).tolist(), coords)
+    log = RoundLog(points.sparkSession, folder) if folder else None
+    if log:
+        log.restore(result)
     with cached(points.select([F.col(c).cast("double") for c in coords])) as held:
         tasks = in_few_tasks(held)
-        moved = np.inf
-        while moved > stop_movement and (max_iter is None or result.rounds < max_iter):
-            fresh, sizes = current.copy(), [0] * len(current)
-            for cluster, n, *sums in _round_sums(tasks, current, use).collect():
-                sizes[cluster] = n
-                fresh[cluster] = np.array(sums) / n
-            moved = float(np.sqrt(((fresh - current)[:, use] ** 2).sum(axis=1)).sum())
-            current = fresh
-            result.centroids, result.sizes = current.tolist(), sizes
-            result.shifts.append(moved)
+        while result.moving(stop_movement, max_iter):
+            move(result, _round_sums(tasks, np.asarray(result.centroids), use).collect(), use, invalid)
+            if log:
+                log.add(result)
     return result
 
 
+_ROUNDS = "round int, cluster int, center array<double>, size bigint, shift double"
+
+
+@dataclass
+class RoundLog:
+    """The centroids of finished rounds in a folder, K rows a round."""
+
+    spark: SparkSession
+    folder: str
+
+    def rounds(self) -> DataFrame:
+        return self.spark.read.schema(_ROUNDS).parquet(self.folder)
+
+    def add(self, result: LloydResult) -> None:
+        sizes = result.sizes or [0] * len(result.centroids)
+        shift = result.shifts[-1] if result.shifts else None
+        rows = [
+            (result.rounds, i, list(map(float, c)), int(n), shift)
+            for i, (c, n) in enumerate(zip(result.centroids, sizes))
+        ]
+        self.spark.createDataFrame(rows, _ROUNDS).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def restore(self, result: LloydResult) -> None:
+        """Set `result` to the last round; start the log, if it is empty, with the
+        seeds. Seeds other than the log's are an error."""
+        try:
+            rows = self.rounds().orderBy("round", "cluster").collect()  # K rows a round
+        except AnalysisException:  # no such folder yet
+            rows = []
+        if not rows:
+            self.add(result)
+            return
+        if [list(r.center) for r in rows if r.round == 0] != result.centroids:
+            raise ValueError(f"{self.folder} holds the rounds of other seeds")
+        last = rows[-1].round
+        result.centroids = [list(r.center) for r in rows if r.round == last]
+        result.sizes = [r.size for r in rows if r.round == last]
+        result.shifts = [r.shift for r in rows if r.cluster == 0 and r.round > 0]
+
+
 # --- the library estimator -------------------------------------------------
 
 
@@ -172,12 +247,14 @@ def fit_kmeans(
     init_mode: str = "random",
     features: str = "features",
 ) -> KMeansModel:
-    """Library k-means over a vector column."""
+    """Library k-means over a vector column. The start is drawn by partition, so rows
+    are placed by their content: the seed alone decides it, on any machine."""
     estimator = KMeans(
         featuresCol=features, k=k, maxIter=max_iter, seed=seed, initMode=init_mode
     )
-    with cached(vectors.select(features)) as held:
-        return estimator.fit(in_few_tasks(held))
+    rows = vectors.select(features, vector_to_array(features).alias("_values"))
+    with cached(placed_by_content(rows, ["_values"]).select(features)) as held:
+        return estimator.fit(held)
 
 
 def kmeans_centers(spark: SparkSession, model: KMeansModel) -> DataFrame:

@@ -22,14 +22,15 @@ def silhouette(
 def regression_metrics(
     df: DataFrame, prediction: str = "prediction", label: str = "label"
 ) -> DataFrame:
-    """One row (rmse, mse, mae, r2), in one aggregate."""
+    """One row (rmse, mse, mae, r2), in one aggregate. r2 is NULL where the label is
+    constant."""
     error = F.col(label) - F.col(prediction)
     mse = F.avg(error * error)
     return df.agg(
         F.sqrt(mse).alias("rmse"),
         mse.alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
-        (1 - mse / F.var_pop(label)).alias("r2"),
+        (1 - F.try_divide(mse, F.var_pop(label))).alias("r2"),
     )
 
 

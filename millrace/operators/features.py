@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordering import running_totals
-
-# What a category list or a model with a weight per category may hold.
-MAX_CATEGORIES = 100_000
+from millrace.operators.ranks import RankIndexer
 
 
 def assemble(
@@ -44,30 +41,10 @@ def spread_vector(df: DataFrame, column: str, width: int, prefix: str = "f") ->
     )
 
 
-def string_indexer(columns: Sequence[str]) -> StringIndexer:
-    """Category -> index by descending frequency, ties alphabetical. One pass
-    counts all columns; an unseen category is an error.
-
-    The category list lives on the driver, like the coefficients of the models
-    that use it: for categories, not for keys (see require_categories).
-    """
-    return StringIndexer(
-        inputCols=list(columns), outputCols=[f"{c}_index" for c in columns]
-    )
-
-
-def _distinct(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    return df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-
-
-def require_categories(
-    df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES
-) -> None:
-    """Refuse columns with too many values for a model that has a weight per
-    value, before their values are sent to the driver."""
-    wide = {c: n for c, n in _distinct(df, columns).items() if n > limit}
-    if wide:
-        raise ValueError(f"too many categories to encode (limit {limit}): {wide}")
+def rank_indexer(columns: Sequence[str]) -> RankIndexer:
+    """Category -> index by descending frequency, ties alphabetical, for any number
+    of categories; an unseen category is an error."""
+    return RankIndexer(inputCols=list(columns), outputCols=[f"{c}_index" for c in columns])
 
 
 def one_hot_encoder(columns: Sequence[str]) -> OneHotEncoder:
@@ -78,37 +55,15 @@ def one_hot_encoder(columns: Sequence[str]) -> OneHotEncoder:
     )
 
 
-def _index_by_join(df: DataFrame, column: str) -> DataFrame:
-    """The same index for any number of values: ranks stay a distributed table."""
-    counts = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_totals(counts, [F.desc("_n"), F.asc("_value")], []).select(
-        "_value", (F.col("position") - 1).cast("double").alias(f"{column}_index")
-    )
-    missing = F.raise_error(F.lit(f"no category in column {column}"))
-    return (
-        df.join(ranks, F.col(column) == F.col("_value"), "left")
-        .withColumn(f"{column}_index", F.coalesce(f"{column}_index", missing))
-        .drop("_value")
-    )
+def index_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add `<column>_index`."""
+    return rank_indexer(columns).fit(df).transform(df)
 
 
-def index_categories(
-    df: DataFrame, columns: Sequence[str], max_on_driver: int = MAX_CATEGORIES
-) -> DataFrame:
-    """Add `<column>_index`. Columns with more values than the driver should
-    hold are ranked and joined instead."""
-    values = _distinct(df, columns)
-    few = [c for c in columns if values[c] <= max_on_driver]
-    indexed = string_indexer(few).fit(df).transform(df) if few else df
-    for column in columns:
-        if column not in few:
-            indexed = _index_by_join(indexed, column)
-    return indexed
-
-
-def one_hot(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> DataFrame:
-    require_categories(df, columns, limit)
-    indexed = string_indexer(columns).fit(df).transform(df)
+def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add `<column>_index` and `<column>_vector`, sparse vectors as wide as the
+    column has categories, less one."""
+    indexed = index_categories(df, columns)
     return one_hot_encoder(columns).fit(indexed).transform(indexed)
 
 
@@ -125,7 +80,7 @@ def feature_pipeline(
     """
     names = [f"{c}_vector" if c in categorical else c for c in inputs]
     stages = [
-        string_indexer(categorical),
+        rank_indexer(categorical),
         one_hot_encoder(categorical),
         VectorAssembler(inputCols=names, outputCol=output),
     ]

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import colour_of, colour_rank, rank_colour
+from millrace.operators.ordering import grouped_totals
 from millrace.operators.skew import (
     BLOCK_ROWS,
     KeyProfile,
@@ -24,7 +25,6 @@ from millrace.operators.skew import (
 )
 from millrace.sources.scratch import scratch_path
 
-MAX_ROUNDS = 20
 _REACHED = "node bigint, distance int, directions bigint"
 
 
@@ -36,42 +36,48 @@ def _counted(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def adjacency_list(edges: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(node, neighbours), sorted, duplicates kept.
+def adjacency_list(edges: DataFrame) -> DataFrame:
+    """(node, neighbours), one row per source, sorted, duplicates kept.
 
-    A node with more out-edges than fit one task comes as several rows that
-    together hold all its neighbours; every other node is one row.
+    All neighbours of a node are one value; where a node may have more than that
+    should hold, use `partitioned_adjacency`.
     """
-    profile = profile_key(edges, "src", block_rows)
-    if not profile.hot:
-        return edges.groupBy(F.col("src").alias("node")).agg(
-            F.array_sort(F.collect_list("dst")).alias("neighbours")
-        )
-    # Copies of one edge may themselves exceed a block: cut them into pieces.
-    limit = F.lit(profile.block_rows)
-    pieces = (
-        with_blocks(_counted(edges), "src", profile)
-        .withColumn(
-            "piece",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / limit))),
-        )
-        .withColumn(
-            "here", F.least(limit, F.col("copies") - F.col("piece") * limit).cast("int")
-        )
-        .withColumn("block", block_of("dst", "piece"))
+    return edges.groupBy(F.col("src").alias("node")).agg(
+        F.array_sort(F.collect_list("dst")).alias("neighbours")
     )
-    return (
-        pieces.groupBy("src", "block")
-        .agg(F.flatten(F.collect_list(F.array_repeat("dst", F.col("here")))).alias("_all"))
-        .select(
-            F.col("src").alias("node"), F.array_sort(F.array_compact("_all")).alias("neighbours")
-        )
+
+
+def partitioned_adjacency(edges: DataFrame, part_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(node, part, neighbours) for nodes of any degree: the sorted neighbours,
+    duplicates kept, cut into parts of exactly `part_rows`; only a node's last part
+    may be shorter. A source without neighbours has an empty part 0.
+
+    Copies are counted before they move, and a node's places are numbered over as
+    many ranges as it takes, so neither a large node nor many copies of one edge
+    meet in a task.
+    """
+    placed = grouped_totals(
+        _counted(edges.where(F.col("dst").isNotNull())), ["src"], [F.asc("dst")], ["copies"]
+    )
+    size = F.lit(part_rows).cast("bigint")
+    first, end = F.col("copies_upto") - F.col("copies"), F.col("copies_upto")
+    div = lambda a: F.floor(a / size)
+    pieces = placed.withColumn("part", F.explode(F.sequence(div(first), div(end - 1))))
+    here = F.least(end, (F.col("part") + 1) * size) - F.greatest(first, F.col("part") * size)
+    parts = pieces.groupBy(F.col("src").alias("node"), "part").agg(
+        F.array_sort(F.flatten(F.collect_list(F.array_repeat("dst", here.cast("int"))))).alias("neighbours")
+    )
+    alone = edges.groupBy(F.col("src").alias("node")).agg(F.count("dst").alias("n")).where("n = 0")
+    none = F.array().cast(parts.schema["neighbours"].dataType)
+    return parts.unionByName(
+        alone.select("node", F.lit(0).cast("bigint").alias("part"), none.alias("neighbours"))
     )
 
 
 def edges_of(adjacency: DataFrame) -> DataFrame:
-    """(node, neighbours) -> (src, dst). A node without neighbours keeps one row
-    with a NULL destination, so that it stays a node of the graph."""
+    """(node, neighbours), with any number of rows per node -> (src, dst). A row
+    without neighbours keeps one edge with a NULL destination, so that its node
+    stays in the graph."""
     return adjacency.select(
         F.col("node").alias("src"), F.explode_outer("neighbours").alias("dst")
     )
@@ -99,10 +105,18 @@ def initial_state(edges: DataFrame, start: int) -> DataFrame:
 
 
 def expand_frontier(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """(src, node, distance): one row per out-edge of a frontier node."""
+    """(src, node, distance): one row per out-edge of a frontier node.
+
+    A hot source is split into blocks on both sides; its frontier row is repeated.
+    """
+    profile = profile_key(edges, "src")
+    upto = F.sequence(F.lit(0), F.col("blocks") - 1)
+    split = with_blocks(edges, "src", profile).withColumn("block", block_of("dst")).drop("blocks")
     return (
-        frontier.select(F.col("node").alias("src"), "distance")
-        .join(edges, "src")
+        with_blocks(frontier.select(F.col("node").alias("src"), "distance"), "src", profile)
+        .withColumn("block", F.explode(upto))
+        .drop("blocks")
+        .join(split, ["src", "block"])
         .select("src", F.col("dst").alias("node"), (F.col("distance") + 1).alias("distance"))
     )
 
@@ -121,14 +135,9 @@ def union_state(state: DataFrame, candidates: DataFrame) -> DataFrame:
     return state.unionByName(candidates)
 
 
-def merge_state(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Merge rows (node, neighbours, distance, colour) per node: neighbours
-    concatenated (sorted), least distance, darkest colour.
-
-    The neighbours are regrouped as an adjacency list, so a node too large for
-    one task keeps several rows, all with its merged distance and colour.
-    """
-    facts = (
+def _merged_facts(rows: DataFrame) -> DataFrame:
+    """(node, distance, colour): least distance, darkest colour."""
+    return (
         rows.groupBy("node")
         .agg(
             F.min("distance").alias("distance"),
@@ -137,15 +146,27 @@ def merge_state(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         .withColumn("colour", rank_colour(F.col("_rank")))
         .drop("_rank")
     )
-    edges = rows.select(F.col("node").alias("src"), F.explode("neighbours").alias("dst"))
+
+
+def merge_state(rows: DataFrame) -> DataFrame:
+    """Merge rows (node, neighbours, distance, colour) into one per node:
+    neighbours concatenated (sorted), least distance, darkest colour."""
+    edges = rows.select(F.col("node").alias("src"), F.explode_outer("neighbours").alias("dst"))
     return (
-        facts.join(adjacency_list(edges, block_rows), "node", "left")
-        .select(
-            "node",
-            F.coalesce("neighbours", F.array().cast("array<bigint>")).alias("neighbours"),
-            "distance",
-            "colour",
-        )
+        _merged_facts(rows)
+        .join(adjacency_list(edges), "node")
+        .select("node", "neighbours", "distance", "colour")
+    )
+
+
+def merge_state_parts(rows: DataFrame, part_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The same for nodes of any degree, with the neighbours in parts: (node, part,
+    neighbours, distance, colour)."""
+    edges = rows.select(F.col("node").alias("src"), F.explode_outer("neighbours").alias("dst"))
+    return (
+        partitioned_adjacency(edges, part_rows)
+        .join(_merged_facts(rows), "node")
+        .select("node", "part", "neighbours", "distance", "colour")
     )
 
 
@@ -172,12 +193,14 @@ class EdgeStore:
 
     edges: DataFrame
     profile: KeyProfile
+    # Whether the edges are placed by (src, block) even without a hot source.
+    by_block: bool = False
 
     def expand(self, frontier: DataFrame) -> DataFrame:
         """(dst, copies), one row per distinct out-edge of the frontier."""
         keyed = frontier.select(F.col("node").alias("src"))
         on = ["src"]
-        if self.profile.hot:
+        if self.profile.hot or self.by_block:
             on = ["src", "block"]
             keyed = with_blocks(keyed, "src", self.profile).select(
                 "src", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
@@ -228,6 +251,8 @@ class Traversal:
     paths: list[str] = field(default_factory=list)
     hit_round: int | None = None
     hits: int | None = None
+    # Whether rounds ran out while there still was a frontier.
+    gave_up: bool = False
 
     @property
     def reached(self) -> DataFrame:
@@ -239,7 +264,7 @@ def traverse(
     store: EdgeStore,
     start: int,
     target: int | None = None,
-    max_rounds: int | None = MAX_ROUNDS,
+    max_rounds: int | None = None,
 ) -> Traversal:
     """Breadth-first rounds from `start`, until the target is hit, the frontier
     is empty or `max_rounds` is spent.
@@ -289,6 +314,8 @@ def traverse(
         if found[0].node == target:
             walk.hit_round, walk.hits = number, found[0].directions
             break
+    else:
+        walk.gave_up = True
     return walk
 
 
@@ -296,19 +323,26 @@ def degree_of_separation(
     edges: DataFrame,
     start: int,
     target: int,
-    max_rounds: int = MAX_ROUNDS,
+    max_rounds: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """One row (start, target, degree, directions).
+    """One row (start, target, degree, directions, gave_up).
 
     `degree` is the first round with an edge from the frontier into the target,
-    `directions` the number of such edges; NULL and 0 if there is none.
+    `directions` the number of such edges; NULL and 0 if there is none. `gave_up`
+    tells a target not met within `max_rounds` from one that cannot be reached.
     """
     with edge_store(edges, block_rows) as store:
         walk = traverse(store, start, target, max_rounds)
-    return edges.sparkSession.createDataFrame(
-        [(start, target, walk.hit_round, walk.hits or 0)],
-        "start bigint, target bigint, degree int, directions bigint",
+    return answer(edges.sparkSession, start, target, walk.hit_round, walk.hits or 0, walk.gave_up)
+
+
+def answer(
+    spark: SparkSession, start: int, target: int, degree: int | None, directions: int, gave_up: bool
+) -> DataFrame:
+    return spark.createDataFrame(
+        [(start, target, degree, directions, gave_up)],
+        "start bigint, target bigint, degree int, directions bigint, gave_up boolean",
     )
 
 
@@ -318,10 +352,13 @@ def reached_from(
     max_rounds: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(node, distance) of the nodes within `max_rounds` hops of the start."""
+    """(node, distance) of the nodes within `max_rounds` hops of the start; nothing
+    if the start is no node of the graph."""
     with edge_store(edges, block_rows) as store:
         walk = traverse(store, start, None, max_rounds)
-    return walk.reached.select("node", "distance")
+    unknown = edges.where((F.col("src") == start) | (F.col("dst") == start)).isEmpty()
+    reached = walk.reached.select("node", "distance")
+    return reached.where(F.lit(not unknown))
 
 
 def distances_from(
@@ -346,7 +383,7 @@ def progress(
     edges: DataFrame,
     start: int,
     target: int | None = None,
-    max_rounds: int = MAX_ROUNDS,
+    max_rounds: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(round, frontier_nodes, frontier_edges, processed) of every round run.
@@ -356,8 +393,8 @@ def progress(
     """
     with edge_store(edges, block_rows) as store:
         walk = traverse(store, start, target, max_rounds)
-    # The last table is what the last round reached: not a frontier that ran.
-    last = walk.hit_round or max_rounds
+    # What the last round reached is no frontier that ran.
+    last = len(walk.paths) - 1
     degrees = edges.groupBy("src").agg(F.count("dst").alias("out_edges"))
     reached = walk.reached.where(F.col("distance") < last)
     # Sources never reached fall into the group with no distance, so that one

@@ -200,8 +200,57 @@ union all select 'l_discount', {rounded('w2', 3)} from w
 union all select 'l_tax', {rounded('w3', 3)} from w
 union all select '(intercept)', {rounded('my - w1 * m1 - w2 * m2 - w3 * m3', 3)} from w"""
 
+LINES = f"""lines as (
+  select l_orderkey, l_linenumber, l_quantity as x, l_discount as y, l_tax as z, l_extendedprice as label,
+         concat(l_orderkey, '-', l_linenumber) as key from lineitem),
+train as materialized (
+  select *, ('0x' || substr(md5('12345:' || key), 1, 13))::bigint / 4503599627370496.0 < 0.8 as fits
+  from lines where {bucket("key")} < 70),
+test as materialized (select * from lines where {bucket("key")} >= 70)"""
+
+
+def ridge(name: str, rows: str, reg_param: str) -> str:
+    """Weights (w1, w2, w3, w0) of three features for each reg_param: centred normal
+    equations by Cramer's rule, the penalty on standardised weights."""
+    return f"""{name} as materialized (
+  with m as (
+    select reg_param, var_pop(x) as vx, var_pop(y) as vy, var_pop(z) as vz, covar_pop(x, y) as b, covar_pop(x, z) as c,
+           covar_pop(y, z) as e, covar_pop(x, label) as p, covar_pop(y, label) as q, covar_pop(z, label) as r,
+           avg(x) as m1, avg(y) as m2, avg(z) as m3, avg(label) as m0, 1 + reg_param / stddev_pop(label) as s
+    from {rows}, {reg_param} group by reg_param),
+  n as (select *, vx * s as a, vy * s as d, vz * s as f from m),
+  det as (select *, a*(d*f - e*e) - b*(b*f - e*c) + c*(b*e - d*c) as v from n),
+  w as (
+    select reg_param, m0, m1, m2, m3, (p*(d*f - e*e) - b*(q*f - e*r) + c*(q*e - d*r)) / v as w1,
+           (a*(q*f - e*r) - p*(b*f - e*c) + c*(b*r - q*c)) / v as w2,
+           (a*(d*r - q*e) - b*(b*r - q*c) + p*(b*e - d*c)) / v as w3 from det)
+  select *, m0 - w1 * m1 - w2 * m2 - w3 * m3 as w0 from w)"""
+
+
+TUNED = f"""with {LINES},
+grid(reg_param) as (values (10000.0::double), (100.0::double), (0.1::double)),
+{ridge('candidates', '(select * from train where fits)', 'grid')},
+tuned as materialized (
+  select reg_param, sqrt(avg(power(label - w0 - w1 * x - w2 * y - w3 * z, 2))) as metric
+  from candidates, train where not fits group by reg_param),
+chosen as (select reg_param from tuned order by metric, reg_param desc limit 1),
+{ridge('best', 'train', 'chosen')}
+"""
+
+PRICED = f"""{TUNED}select l_orderkey, l_linenumber, label, x as f0, y as f1, z as f2,
+  {rounded('w0 + w1 * x + w2 * y + w3 * z', 3)} as prediction from test, best"""
+
 # --- classification --------------------------------------------------------
 
+CELLS = f"""{BINARY},
+cells as (select o_orderkey, label, concat(o_orderpriority, '/', c_mktsegment) as cell from binary_rows),
+shares as (select cell, avg(label) as p from cells where {bucket('o_orderkey')} < 70 group by cell),
+scored as (
+  select label, (round(p, {SOLVER_PLACES}) > 0.5)::double as prediction, round(p, {SOLVER_PLACES}) as probability
+  from cells join shares using (cell) where {bucket('o_orderkey')} >= 70)"""
+
+FITTED_ACCURACY = f"""with {CELLS} select {rounded('avg((prediction = label)::double)')} as accuracy from scored"""
+
 # The L1 share of the penalty keeps every coefficient of these features at zero,
 # so the optimum is the centred log of the class shares and nothing else.
 SHARES = f"""{BINARY},
@@ -209,12 +258,12 @@ train as (select * from binary_rows where {bucket('o_orderkey')} < 70),
 shares as (select avg(label) as p1, ln(avg(label) / (1 - avg(label))) / 2 as half from train)"""
 
 
-def roc(score: str) -> str:
-    return f"""with {FIXED_RULE},
+def roc(score: str, ctes: str = FIXED_RULE, rows: str = "fixed") -> str:
+    return f"""with {ctes},
 counts as (
   select {score} as threshold, count(*) filter (where label > 0.5) as pos,
          count(*) filter (where label <= 0.5) as neg
-  from fixed group by {score}),
+  from {rows} group by {score}),
 points as (
   select row_number() over (order by threshold desc) as position, threshold,
          (sum(neg) over (order by threshold desc) / sum(neg) over ())::double as fpr,
@@ -225,6 +274,24 @@ union all select 0, null, 0.0, 0.0
 union all select (select count(*) + 1 from counts), null, 1.0, 1.0"""
 
 
+def separation(start: int, target: int, rounds: int, columns: str = "", before: str = "") -> str:
+    """The least round with an edge into the target and the number of such edges,
+    of a walk with at most `rounds` rounds."""
+    hits = f"select distance + 1 as degree, count(*) as n from reached join edges on src = node where dst = {target} group by distance"
+    return graph(
+        reached(rounds - 1).replace(f"select {START}::bigint, 0", f"select {start}::bigint, 0"),
+        f"hits as ({hits})",
+        select=f"""select {before}(select min(degree) from hits)::int as degree,
+  coalesce((select n from hits order by degree limit 1), 0)::bigint as directions{columns}""",
+    )
+
+
+PARTS = """parts as (
+  select src as node, (row_number() over (partition by src order by dst) - 1) // 3 as part, dst from edges)"""
+
+NAMED = """named as (
+  select 'customer ' || src as src, 'customer ' || dst as dst from edges)"""
+
 ORDER_COLUMNS = (
     ("o_orderkey", "bigint"),
     ("o_custkey", "bigint"),
@@ -240,6 +307,18 @@ ORACLES: dict[str, str] = {
     # sources and sinks
     "csv_scan": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_orderpriority from orders""",
+    "csv_inferred": """select o_orderkey::int as o_orderkey, o_custkey::int as o_custkey, o_orderstatus, o_totalprice,
+  strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_orderpriority from orders""",
+    "inferred_schema": "\nunion all\n".join(
+        f"""select {i}::int as position, '{c}' as "column", '{t}' as type, count(*) - count({c}) as nulls from lineitem"""
+        for i, (c, t) in enumerate((("l_orderkey", "int"), ("l_tax", "double"), ("l_returnflag", "string")))
+    ),
+    "checked_lines": """select o_orderkey as id, o_orderstatus as status, o_totalprice as price from orders
+  where o_orderkey % 7 <> 0 and o_orderkey % 11 <> 0""",
+    "quarantined_lines": """select
+  case when o_orderkey % 11 = 0 then 'no field 2' else 'field 2 is no double' end as reason,
+  concat(o_orderkey, ',', o_orderstatus, case when o_orderkey % 11 <> 0 then ',n/a' else '' end) as value
+  from orders where o_orderkey % 7 = 0 or o_orderkey % 11 = 0""",
     "text_scan": """select concat(o_orderkey, ',', o_custkey, ',', o_orderstatus, ',',
   o_orderpriority) as value from orders""",
     "header_skip": "select * from customer",
@@ -273,6 +352,12 @@ ORACLES: dict[str, str] = {
   order by o_orderkey limit 50""",
     "sample_exact": f"""select c_custkey, c_name from customer
   order by md5(c_custkey::varchar), c_custkey limit {CLUSTERS}""",
+    "sample_half": """select l_orderkey, l_linenumber from lineitem
+  order by md5(concat(l_orderkey, '-', l_linenumber)) limit (select count(*) // 2 from lineitem)""",
+    "sample_random": f"""select c_custkey, c_name from customer
+  order by md5('1:' || c_custkey), c_custkey limit {CLUSTERS}""",
+    "random_split": """select o_orderkey, case when ('0x' || substr(md5('12345:' || o_orderkey), 1, 13))::bigint
+  / 4503599627370496.0 < 0.7 then 'train' else 'test' end as part from orders""",
     "hash_split": f"""select o_orderkey,
   case when {bucket('o_orderkey')} < 70 then 'train' else 'test' end as part from orders""",
     # scalar functions
@@ -339,6 +424,51 @@ select o_orderkey, len(f)::int as n_fields, array_to_string(f, '|') as fields fr
   when distance = 2 then 'GRAY' else 'BLACK' end as colour
   from nodes left join reached using (node)""",
     ),
+    "degree_within_rounds": separation(
+        START, TARGET, 3, ", true as gave_up", f"{START}::bigint as start, {TARGET}::bigint as target, "
+    ),
+    "two_sided_separation": " union all ".join(
+        f"select * from ({separation(START, t, 20, ', false as gave_up', f'{START}::bigint as start, {t}::bigint as target, ')})"
+        for t in (TARGET, START)
+    ),
+    "partitioned_adjacency": graph(
+        PARTS,
+        select=f"select node, part, {text_list('list(dst order by dst)')} as neighbours from parts group by node, part",
+    ),
+    "state_parts": graph(
+        NODES,
+        PARTS,
+        reached(2),
+        select=f"""select node, coalesce(part, 0) as part,
+  {text_list('list(dst order by dst) filter (where dst is not null)')} as neighbours, distance,
+  case when distance is null then 'WHITE' when distance = 2 then 'GRAY' else 'BLACK' end as colour
+  from nodes left join parts using (node) left join reached using (node) group by node, part, distance""",
+    ),
+    "id_dictionary": graph(
+        NODES,
+        select="""select 'customer ' || node as name, row_number() over (order by 'customer ' || node) - 1 as id from nodes""",
+    ),
+    "named_adjacency": graph(
+        NAMED,
+        select=f"select src as node, {text_list('list(dst order by dst)')} as neighbours from named group by src",
+    ),
+    "named_distances": graph(
+        NODES,
+        reached(50),
+        select="select 'customer ' || node as node, distance from nodes left join reached using (node)",
+    ),
+    "named_separation": separation(
+        START, TARGET, 20, ", false as gave_up", f"'customer {START}' as start, 'customer {TARGET}' as target, "
+    ),
+    "edge_table_distances": " union all ".join(
+        "select * from ("
+        + graph(
+            reached(50).replace(f"select {START}::bigint, 0", f"select {start}::bigint, 0"),
+            select=f"select {start}::int as start, node, distance from reached",
+        )
+        + ")"
+        for start in (START, TARGET)
+    ),
     "target_hits": graph(
         reached(50),
         select=f"""select (distance + 1)::int as round, count(*) as hits
@@ -400,6 +530,14 @@ from seeds o join (select k, {', '.join(f'avg({c}) as {c}' for c in COORDS)}
     "lloyd_kmeans": centers(3),
     "lloyd_kmeans_planar": centers(3, dims=COORDS[:2]),
     "lloyd_kmeans_converged": centers(UNROLLED, extra=", moves::int as rounds", stop=0.1),
+    "lloyd_planar_converged": centers(UNROLLED, extra=", moves::int as rounds", stop=0.1, dims=COORDS[:2]),
+    "lloyd_pruned": centers(UNROLLED, extra=", moves::int as rounds", stop=0.1),
+    "lloyd_resumed": centers(5),
+    "zones_from_file": f"""{lloyd(UNROLLED, stop=0.1)},
+sample as (select * from points order by md5(c_custkey::varchar), c_custkey limit 10)
+select 'c' || c_custkey as label, arg_min(k, (dist, k))::int as cluster
+from (select c_custkey, k, {distance('p', 'c', COORDS)} as dist from sample p, centers{UNROLLED} c)
+group by c_custkey""",
     "assign_sample": f"""{lloyd(3)},
 sample as (select * from points order by md5(c_custkey::varchar), c_custkey limit 10)
 select c_custkey, arg_min(k, (dist, k))::int as cluster
@@ -428,6 +566,15 @@ union all
 select '(intercept)', {rounded('regr_intercept(l_extendedprice, l_quantity)', 4)} from lineitem""",
     "linear_fit_ridge": RIDGE,
     "linear_fit_features": LEAST_SQUARES,
+    "linear_tune": f"""{TUNED}select reg_param, {rounded('metric', 4)} as metric,
+  reg_param = (select reg_param from chosen) as is_best from tuned""",
+    "linear_best_model": TUNED
+    + "union all ".join(
+        f"select '{term}' as term, {rounded(w, 3)} as coefficient, reg_param from best "
+        for term, w in zip(("l_quantity", "l_discount", "l_tax", "(intercept)"), ("w1", "w2", "w3", "w0"))
+    ),
+    "linear_score": PRICED,
+    "prices_from_file": PRICED,
     "regression_metrics": f"""select {rounded(f'sqrt(avg(power({_ERROR}, 2)))', 2)} as rmse,
   {rounded(f'avg(power({_ERROR}, 2))', 2)} as mse, {rounded(f'avg(abs({_ERROR}))', 2)} as mae,
   {rounded(f'1 - sum(power({_ERROR}, 2)) / (var_pop(l_extendedprice) * count(*))')} as r2
@@ -440,6 +587,10 @@ from shares, range(2) a(k), range(-1, 10) b(j)""",
     "logistic_score": f"""with {SHARES}
 select o_orderkey, label, (p1 > 0.5)::double as prediction, {rounded('p1', SOLVER_PLACES)} as probability
 from binary_rows, shares where {bucket('o_orderkey')} >= 70""",
+    "fitted_confusion": f"""with {CELLS} select prediction, label, count(*) as n from scored group by prediction, label""",
+    "fitted_accuracy": FITTED_ACCURACY,
+    "fitted_roc": roc("probability", CELLS, "scored"),
+    "subscriptions_from_file": FITTED_ACCURACY,
     "confusion_matrix": f"""with {FIXED_RULE}
 select prediction, label, count(*) as n from fixed group by prediction, label""",
     "accuracy": f"""with {FIXED_RULE}

@@ -15,16 +15,20 @@ from millrace.functions import colour_of, euclidean, split_fields, to_number, ve
 from millrace.operators import (
     classification,
     clustering,
+    edge_tables,
     evaluation,
     features,
     graph,
+    naming,
+    pruned_kmeans,
     regression,
     relational,
+    two_sided,
 )
 from millrace.operators.caching import cached
 from millrace.plans import inputs
 from millrace.plans.inputs import COORDS, table
-from millrace.sources import sinks, text
+from millrace.sources import quarantine, sinks, text
 from millrace.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +76,41 @@ def csv_scan(spark, sf):
     )
 
 
+@query
+def csv_inferred(spark, sf):
+    """Types from the file itself."""
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(table(spark, sf, "orders"), path)
+    return text.read_csv(spark, path).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+@query
+def inferred_schema(spark, sf):
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(table(spark, sf, "lineitem").select("l_orderkey", "l_tax", "l_returnflag"), path)
+    return sinks.schema_report(text.read_csv(spark, path))
+
+
+def _checked(spark, sf):
+    """Order lines of which some lack a field, some hold text for a number."""
+    path = scratch_path(spark, "lines")
+    price = F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    line = F.concat_ws(",", F.col("o_orderkey"), F.col("o_orderstatus"), F.when(F.col("o_orderkey") % 11 != 0, price))
+    sinks.write_lines(table(spark, sf, "orders").select(line.alias("value")), path)
+    fields = [quarantine.Field("id", 0, "bigint"), quarantine.Field("status", 1), quarantine.Field("price", 2, "double")]
+    return quarantine.check_fields(quarantine.read_located_lines(spark, path), fields)
+
+
+@query
+def checked_lines(spark, sf):
+    return _checked(spark, sf).good
+
+
+@query
+def quarantined_lines(spark, sf):
+    return _checked(spark, sf).bad.select("reason", "value")
+
+
 @query
 def text_scan(spark, sf):
     path = scratch_path(spark, "text")
@@ -191,26 +230,32 @@ def sample_exact(spark, sf):
 @query
 def sample_random(spark, sf):
     return relational.sample_exact(
-        table(spark, sf, "customer").select("c_custkey", "c_name"), CLUSTERS, clustering.SEED
+        table(spark, sf, "customer").select("c_custkey", "c_name"), CLUSTERS, clustering.SEED, "c_custkey"
     )
 
 
 @query
-def random_split(spark, sf):
-    train, test = relational.random_split(table(spark, sf, "orders").select("o_orderkey"))
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
+def sample_half(spark, sf):
+    """A sample too large for one task."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key")
     )
+    return relational.sample_by_hash(rows, rows.count() // 2, "key").drop("key")
+
+
+def _parts(parts: list[DataFrame]) -> DataFrame:
+    train, test = parts
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query
+def random_split(spark, sf):
+    return _parts(relational.random_split(table(spark, sf, "orders").select("o_orderkey"), key="o_orderkey"))
 
 
 @query
 def hash_split(spark, sf):
-    train, test = relational.hash_split(
-        table(spark, sf, "orders").select("o_orderkey"), "o_orderkey"
-    )
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
+    return _parts(relational.hash_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey"))
 
 
 # --- scalar functions ------------------------------------------------------
@@ -352,9 +397,85 @@ def target_hits(spark, sf):
     return graph.target_hits(graph.reached_from(edges, START), edges, TARGET)
 
 
+# The answer without the mark of a search that was cut short.
+_ANSWER = ["start", "target", "degree", "directions"]
+
+
 @query
 def degree_of_separation(spark, sf):
-    return graph.degree_of_separation(inputs.edges(spark, sf), START, TARGET)
+    return graph.degree_of_separation(inputs.edges(spark, sf), START, TARGET).select(*_ANSWER)
+
+
+@query
+def degree_within_rounds(spark, sf):
+    """Too few rounds to meet the target."""
+    return graph.degree_of_separation(inputs.edges(spark, sf), START, TARGET, max_rounds=3)
+
+
+@query
+def two_sided_separation(spark, sf):
+    """Searches from both ends: the pair, and from a node back to itself."""
+    edges = inputs.edges(spark, sf)
+    pair = two_sided.degree_of_separation(edges, START, TARGET)
+    return pair.unionByName(two_sided.degree_of_separation(edges, START, START))
+
+
+@query
+def partitioned_adjacency(spark, sf):
+    rows = graph.partitioned_adjacency(inputs.edges(spark, sf), part_rows=3)
+    return rows.select("node", "part", _joined("neighbours"))
+
+
+def _named(spark, sf):
+    """The graph as an edge file of names."""
+    path = scratch_path(spark, "names")
+    edges = inputs.edges(spark, sf).select(
+        *[F.concat(F.lit("customer "), F.col(c).cast("string")).alias(c) for c in ("src", "dst")]
+    )
+    sinks.write_lines(inputs.text_of(edges, "src", "dst"), path)
+    return naming.named_graph(text.parse_edges(text.read_lines(spark, path), names=True))
+
+
+@query
+def id_dictionary(spark, sf):
+    return _named(spark, sf).names
+
+
+@query
+def named_adjacency(spark, sf):
+    return _named(spark, sf).adjacency().select("node", _joined("neighbours"))
+
+
+@query
+def named_distances(spark, sf):
+    return _named(spark, sf).distances_from(f"customer {START}")
+
+
+@query
+def named_separation(spark, sf):
+    return _named(spark, sf).degree_of_separation(f"customer {START}", f"customer {TARGET}")
+
+
+@query
+def edge_table_distances(spark, sf):
+    """Two traversals from edges that were bucketed once."""
+    folder = scratch_path(spark, "edge-table")
+    edge_tables.save_edge_table(inputs.edges(spark, sf), folder)
+    store = edge_tables.open_edge_table(spark, folder)
+    first, second = (graph.traverse(store, start).reached for start in (START, TARGET))
+    rows = first.withColumn("start", F.lit(START)).unionByName(second.withColumn("start", F.lit(TARGET)))
+    return rows.select("start", "node", "distance")
+
+
+@query
+def state_parts(spark, sf):
+    """The state after two rounds with the neighbours in parts."""
+    edges = inputs.edges(spark, sf)
+    state = graph.state_after(edges, START, 2)
+    none = F.array().cast("array<bigint>")
+    rows = state.join(graph.adjacency_list(edges), "node", "left").withColumn("neighbours", F.coalesce("neighbours", none))
+    merged = graph.merge_state_parts(rows.select("node", "neighbours", "distance", "colour"), part_rows=3)
+    return merged.select("node", "part", _joined("neighbours"), "distance", "colour")
 
 
 @query
@@ -363,13 +484,13 @@ def separation_from_file(spark, sf):
     path = scratch_path(spark, "adjacency")
     sinks.write_adjacency(_adjacency(spark, sf), path)
     edges = graph.edges_of(text.parse_adjacency(text.read_lines(spark, path)))
-    return graph.degree_of_separation(edges, START, TARGET)
+    return graph.degree_of_separation(edges, START, TARGET).select(*_ANSWER)
 
 
 @query
 def cycle_length(spark, sf):
     """Start and target the same: the shortest way back."""
-    return graph.degree_of_separation(inputs.edges(spark, sf), START, START)
+    return graph.degree_of_separation(inputs.edges(spark, sf), START, START).select(*_ANSWER)
 
 
 @query
@@ -441,6 +562,45 @@ def lloyd_kmeans_converged(spark, sf):
     )
 
 
+@query
+def lloyd_planar_converged(spark, sf):
+    """Two of the four coordinates as distance, until the centroids settle."""
+    result = _lloyd(spark, sf, distance_cols=PLANAR)
+    return result.centers(spark).select("cluster", *_rounded(*COORDS), F.lit(result.rounds).alias("rounds"))
+
+
+@query
+def lloyd_pruned(spark, sf):
+    """The loop that skips distances, with its own stopping rule."""
+    with cached(inputs.points(spark, sf)) as points:
+        result = pruned_kmeans.lloyd_pruned(points, _seeds(points), COORDS)
+    return result.centers(spark).select("cluster", *_rounded(*COORDS), F.lit(result.rounds).alias("rounds"))
+
+
+@query
+def lloyd_resumed(spark, sf):
+    """Two rounds, then a run that goes on from them up to five."""
+    folder = scratch_path(spark, "rounds")
+    _lloyd(spark, sf, max_iter=2, folder=folder)
+    result = _lloyd(spark, sf, max_iter=5, folder=folder)
+    return result.centers(spark).select("cluster", *_rounded(*COORDS))
+
+
+@query
+def zones_from_file(spark, sf):
+    """From a file of points to the zone of sampled labels: parse, drop empty points,
+    find zones, assign."""
+    path = scratch_path(spark, "points")
+    lines = inputs.points(spark, sf).select(F.concat_ws(",", F.concat(F.lit("c"), "c_custkey"), *COORDS).alias("value"))
+    sinks.write_lines(lines, path)
+    with cached(relational.drop_all_zero(text.parse_points(text.read_lines(spark, path)), COORDS)) as points:
+        by_mark = F.md5(F.substring("label", 2, 20))
+        seeds = clustering.seed_rows(relational.least_by_mark(points, CLUSTERS, by_mark, ["label"]), COORDS, by_mark)
+        centroids = clustering.lloyd(points, seeds, COORDS).centroids
+        sample = relational.least_by_mark(points, 10, by_mark, ["label"])
+        return clustering.assign(sample, centroids, COORDS).select("label", "cluster")
+
+
 @query
 def assign_sample(spark, sf):
     centroids = _lloyd(spark, sf, max_iter=3).centroids
@@ -520,11 +680,11 @@ def string_index(spark, sf):
 
 @query
 def string_index_keys(spark, sf):
-    """A column with many values: ranked and joined, not held on the driver."""
+    """A column with many values."""
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("customer")
     )
-    indexed = features.index_categories(orders, ["customer"], max_on_driver=100)
+    indexed = features.index_categories(orders, ["customer"])
     return indexed.select("o_orderkey", F.col("customer_index").cast("int"))
 
 
@@ -582,27 +742,46 @@ def _price_split(spark, sf):
     return relational.hash_split(rows, F.concat_ws("-", "l_orderkey", "l_linenumber"))
 
 
+def _tuned(train: DataFrame) -> regression.Tuned:
+    return regression.tune_linear(train, key=F.concat_ws("-", "l_orderkey", "l_linenumber"))
+
+
 @query
 def linear_tune(spark, sf):
-    model = regression.tune_linear(_price_split(spark, sf)[0])
-    return regression.tuning_report(spark, model)
+    report = regression.tuning_report(spark, _tuned(_price_split(spark, sf)[0]))
+    return report.select("reg_param", *_rounded("metric", places=4), "is_best")
 
 
 @query
 def linear_best_model(spark, sf):
-    model = regression.tune_linear(_price_split(spark, sf)[0])
-    return regression.linear_report(spark, model.bestModel, inputs.REGRESSION_FEATURES)
+    tuned = _tuned(_price_split(spark, sf)[0])
+    report = regression.linear_report(spark, tuned.model, inputs.REGRESSION_FEATURES)
+    return report.select("term", *_rounded("coefficient", places=3), "reg_param")
 
 
-@query
-def linear_score(spark, sf):
-    train, test = _price_split(spark, sf)
-    scored = regression.tune_linear(train).transform(test)
-    return features.spread_vector(
+def _priced(train: DataFrame, test: DataFrame) -> DataFrame:
+    scored = _tuned(train).transform(test)
+    rows = features.spread_vector(
         scored.select("l_orderkey", "l_linenumber", "features", "label", "prediction"),
         "features",
         len(inputs.REGRESSION_FEATURES),
     )
+    return rows.withColumns({"prediction": _rounded("prediction", places=3)[0]})
+
+
+@query
+def linear_score(spark, sf):
+    return _priced(*_price_split(spark, sf))
+
+
+@query
+def prices_from_file(spark, sf):
+    """From a file with a header to scored prices: types from the file, features,
+    split, tuning, scores."""
+    path = scratch_path(spark, "prices")
+    sinks.write_csv(inputs.regression(spark, sf), path)
+    rows = features.assemble(text.read_csv(spark, path), inputs.REGRESSION_FEATURES)
+    return _priced(*relational.hash_split(rows, F.concat_ws("-", "l_orderkey", "l_linenumber")))
 
 
 @query
@@ -640,7 +819,46 @@ def logistic_quality(spark, sf):
     model = classification.fit_logistic(
         train, inputs.DOCUMENT_CATEGORIES, inputs.DOCUMENT_INPUTS, reg_param=0.01, elastic_net=0.0
     )
-    return classification.score_logistic(model, test, ["doc_id", "label"])
+    return classification.score_logistic(model, test, ["doc_id", "label"]).drop("probabilities")
+
+
+def _cell_scores(rows: DataFrame) -> DataFrame:
+    """Test rows scored by a model with a weight per cell of priority and segment,
+    without a penalty: the probability of a cell is its share in the training rows."""
+    cells = rows.select("o_orderkey", "label", F.concat_ws("/", "o_orderpriority", "c_mktsegment").alias("cell"))
+    train, test = relational.hash_split(cells, "o_orderkey")
+    model = classification.fit_logistic(
+        train, ["cell"], ["cell"], max_iter=300, reg_param=0.0, elastic_net=0.0, tolerance=1e-12
+    )
+    # The solver leaves a cell of equal shares a hair off one half.
+    probability = F.round("probability", SOLVER_PLACES)
+    return classification.score_logistic(model, test, ["label"]).select(
+        "label", (probability > 0.5).cast("double").alias("prediction"), probability.alias("probability")
+    )
+
+
+@query
+def fitted_confusion(spark, sf):
+    return evaluation.confusion_matrix(_cell_scores(inputs.binary(spark, sf)))
+
+
+@query
+def fitted_accuracy(spark, sf):
+    return evaluation.accuracy(_cell_scores(inputs.binary(spark, sf))).select(*_rounded("accuracy"))
+
+
+@query
+def fitted_roc(spark, sf):
+    return evaluation.roc_curve(_cell_scores(inputs.binary(spark, sf)), score="probability")
+
+
+@query
+def subscriptions_from_file(spark, sf):
+    """From a file with a header to the accuracy of a fitted model: types from the
+    file, encoding, split, fit, scores."""
+    path = scratch_path(spark, "orders")
+    sinks.write_csv(inputs.binary(spark, sf), path)
+    return evaluation.accuracy(_cell_scores(text.read_csv(spark, path))).select(*_rounded("accuracy"))
 
 
 @query

@@ -31,27 +31,31 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def parse_edges(lines: DataFrame, lenient: bool = False) -> DataFrame:
-    """`a,b,...` -> (src, dst); further fields are ignored."""
+def parse_edges(lines: DataFrame, lenient: bool = False, names: bool = False) -> DataFrame:
+    """`a,b,...` -> (src, dst); further fields are ignored. Ids are numbers, or
+    text if `names`."""
     fields = split_fields(F.col("value"))
     pick = F.get if lenient else (lambda a, i: F.element_at(a, i + 1))
-    return lines.select(
-        to_number(pick(fields, 0), "bigint", lenient).alias("src"),
-        to_number(pick(fields, 1), "bigint", lenient).alias("dst"),
-    )
+    column = lambda i: pick(fields, i) if names else to_number(pick(fields, i), "bigint", lenient)
+    return lines.select(column(0).alias("src"), column(1).alias("dst"))
 
 
-def parse_adjacency(lines: DataFrame, drop_last: bool = False) -> DataFrame:
-    """`id,n1,n2,...` -> (node, neighbours).
+def parse_adjacency(
+    lines: DataFrame, drop_last: bool = False, lenient: bool = False, names: bool = False
+) -> DataFrame:
+    """`id,n1,n2,...` -> (node, neighbours). Ids are numbers, or text if `names`.
 
-    `drop_last` leaves out the last neighbour of every row.
+    `drop_last` leaves out the last neighbour of every row. Bad text is an error;
+    if lenient, a bad id is NULL and bad neighbours are left out.
     """
     fields = split_fields(F.col("value"))
     count = F.greatest(F.size(fields) - (2 if drop_last else 1), F.lit(0))
-    return lines.select(
-        F.element_at(fields, 1).cast("bigint").alias("node"),
-        F.slice(fields, F.lit(2), count).cast("array<bigint>").alias("neighbours"),
-    )
+    node = F.get(fields, 0) if lenient else F.element_at(fields, 1)
+    ids = F.slice(fields, F.lit(2), count)
+    if not names:
+        node = to_number(node, "bigint", lenient)
+        ids = F.array_compact(F.transform(ids, lambda x: to_number(x, "bigint", True))) if lenient else ids.cast("array<bigint>")
+    return lines.select(node.alias("node"), ids.alias("neighbours"))
 
 
 def parse_points(
