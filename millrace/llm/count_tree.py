@@ -6,11 +6,11 @@ groups, and a document is the point of its counts by group. Two sets share at mo
 the sum, over the groups, of the smaller count; so points of linked documents
 are no further apart (in summed differences) than their sets differ.
 
-The root of the index cuts the groups into slabs, d + 1 + e of them, where d is
-how far linked sets of that size can differ: at least e + 1 slabs of two linked
-points are equal in every group. A document is filed under each of its slabs,
-but for the e that hold fewest tokens; the fullest common slab is never among those
-of either document, so linked documents meet. Below the root each slab has
+The root of the index cuts the groups into m slabs, as many for all sets of a size
+class. A document whose linked partners differ from it by at most d tokens is equal
+to each of them in every group of at least m - d slabs. It is filed under its d + 1
+fullest slabs: the fullest that two linked documents have in common is filed by
+both, or one would have left out m - d slabs, so linked documents meet. Below the root each slab has
 R-trees over its documents' points, here folded to `GROUPS` groups: a node holds the
 largest count of each group and the least size below it, and two nodes are
 searched on only if the summed smaller counts can reach the overlap that their
@@ -38,17 +38,17 @@ from millrace.llm.components import _stored, components
 from millrace.llm.frames import blocks_for
 
 GROUPS = 64
-SLAB_GROUPS = 64
+SLAB_BITS = 16
 FANOUT = 16
 LEAF = 512
 HUB_ROUNDS = 2
+HUB_SHARE = 4
 # Rows a task of the tree search should hold, and pairs that share a copy of a set.
 GROUP_ROWS = 20_000
 PAIR_ROWS = 2_000
 # A class of copies beyond this, or its share of a quarter partition, is joined in parts.
 CLASS_ROWS = 2_000
 _RUN_BYTES = 2 << 20
-_VALUES = mix(np.arange(1, SLAB_GROUPS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def size_bounds(percent: int, most: int) -> np.ndarray:
@@ -56,31 +56,32 @@ def size_bounds(percent: int, most: int) -> np.ndarray:
     or of neighbouring ones."""
     bounds = [1]
     while bounds[-1] <= most:
-        bounds.append(max(bounds[-1] + 1, 100 * bounds[-1] // percent + 1))
-    return np.array(bounds + [100 * bounds[-1] // percent + 2], dtype=np.int64)
+        bounds.append(max(2 * bounds[-1], 100 * bounds[-1] // percent + 1))
+    return np.array(bounds + [max(2 * bounds[-1], 100 * bounds[-1] // percent + 1)], dtype=np.int64)
 
 
-def furthest(percent: int, largest: np.ndarray) -> np.ndarray:
-    """How many tokens are in one only of two linked sets of at most `largest`."""
-    return 2 * largest * (100 - percent) // (100 + percent)
+def furthest(percent: int, total: np.ndarray) -> np.ndarray:
+    """How many tokens are in one only of two linked sets of together `total`."""
+    return total * (100 - percent) // (100 + percent)
 
 
 def _slab_keys(doc: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, key) of the slabs under which documents are filed, in order.
 
-    A document is filed for pairs whose larger one is in its own size class, and for
-    pairs whose larger one is in the next.
+    A document is filed for pairs whose larger one is in its own size class, and, if
+    it may have partners there, for pairs whose larger one is in the next.
     """
     bounds = size_bounds(percent, int(sizes.max(initial=1)))
     own = np.searchsorted(bounds, sizes, side="right") - 1
+    largest = 100 * sizes // percent  # partner
     token = mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
-    value = _VALUES[(token >> np.uint64(32)).astype(np.int64) % SLAB_GROUPS]
+    value = mix((token >> np.uint64(64 - SLAB_BITS)) + np.uint64(1))  # of the token's group in its slab
     docs, keys = [], []
-    for scheme in (own, own + 1):
-        far = furthest(percent, bounds[scheme + 1] - 1)
-        extra = 1 + far // 8
+    for scheme, used in ((own, sizes > 0), (own + 1, (sizes > 0) & (largest >= bounds[own + 1]))):
+        within = furthest(percent, 2 * (bounds[scheme + 1] - 1))
+        far = np.minimum(within, furthest(percent, sizes + largest))
         # No difference allowed: only equal sets are linked, which are one class.
-        slabs = np.where((far > 0) & (sizes > 0), far + 1 + extra, 0)
+        slabs = np.where(used & (far > 0), within + 2 + within // 8, 0)
         first = np.r_[0, np.cumsum(slabs)]
         live = np.flatnonzero(slabs[doc])
         d = doc[live]
@@ -95,7 +96,7 @@ def _slab_keys(doc: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, percent:
         fewest = np.lexsort((place, held, owner))
         rank = np.empty(first[-1], dtype=np.int64)
         rank[fewest] = np.arange(first[-1]) - first[owner]
-        kept = rank >= extra[owner]
+        kept = rank >= (slabs - far - 1)[owner]
         name = mix((scheme[owner].astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64))
         docs.append(owner[kept])
         keys.append(mix(counts[kept] + name[kept]))
@@ -216,17 +217,19 @@ class _Join:
         self.tokens = tokens
         self.links = links
         self.names = components(links)
-        filed = tokens.select("id", F.explode("keys").alias("key")).distinct()
-        meet = filed.groupBy("key").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low < _high")
+        filed = tokens.select("id", F.explode("keys").alias("key"))
+        meet = filed.groupBy("key").count().where("count > 1")
         self.filed = _stored(filed.join(meet.select("key"), "key"), "slabs")
         wanted = self.filed.select(F.col("id").alias("doc_id")).distinct()
         chosen = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
         self.sets = _stored(chosen.mapInArrow(_sets(size), "id bigint, shingles array<bigint>").distinct(), "sets")
 
-    def open_slabs(self) -> DataFrame:
-        """(key, id, component) of slabs that hold several components."""
+    def open_slabs(self, share: int = 1) -> DataFrame:
+        """(key, id, component) of slabs that hold several components; of a share of
+        the slabs, which is enough to find hubs."""
         names = self.names.withColumnRenamed("id", "_id")
-        rows = self.filed.join(names, F.col("id") == F.col("_id"), "left").select(
+        filed = self.filed.where(F.pmod("key", F.lit(share)) == 0) if share > 1 else self.filed
+        rows = filed.join(names, F.col("id") == F.col("_id"), "left").select(
             "key", "id", F.coalesce("component", "id").alias("component")
         )
         several = rows.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high")
@@ -363,7 +366,7 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, leaf: int
     )
     join = _Join(docs, _stored(tokens, "tokens"), links, shingle, percent, leaf)
     for _ in range(HUB_ROUNDS):
-        join.confirm(join.hub_pairs(join.open_slabs()))
+        join.confirm(join.hub_pairs(join.open_slabs(HUB_SHARE)))
     join.confirm(join.tree_pairs(join.open_slabs()))
     names = join.names.withColumnRenamed("id", "_id")
     named = classes.join(names, F.col("id") == F.col("_id"), "left").select(
