@@ -114,7 +114,7 @@ def _licenses() -> str:
         ), templates(template, label, own) as (
             values {rows}
         ), blocks as (
-            select doc_id, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(x, '\\n|[.!?;][ \\t]+')), '{word}')) as tokens
+            select doc_id, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(x, '\\n[ \\t\\r]*\\n|[.!?;][ \\t\\r\\n]+')), '{word}')) as tokens
             from lowered
         ), matched as (
             select doc_id, label, len(list_intersect(tokens, own)) as overlap, len(own) as size
