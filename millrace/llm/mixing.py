@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import _stored
+from millrace.llm.frames import PREFIX
 
 LEVELS = ("domain", "lang", "source")
 EPOCHS = 3
@@ -112,10 +113,20 @@ def select_documents(
     selected one by one. Weights are whole numbers, 1 where none is given; weight
     0 is not allowed, leave such rows out. An empty table gives no rows.
     """
+    rows = _use(docs, ["doc_id"], domain, weights, budget, epochs, seed)
+    return rows.select("doc_id", *LEVELS, "tokens", "epoch", "taken")
+
+
+def _use(
+    docs: DataFrame, keep: list[str], domain: Column, weights: Mapping[str, Mapping[str, int]], budget: int | None, epochs: int, seed: int
+) -> DataFrame:
+    """The kept columns of a row, those of the leaf, `tokens`, `epoch` and `taken`, for
+    each time it is used. `keep` holds `doc_id`; columns that clash are to be renamed."""
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     thin = _stored(
         docs.select(
-            "doc_id", name(domain).alias("domain"), name(F.col("lang")).alias("lang"), name(F.col("source")).alias("source"),
+            *[F.col(f"`{c}`") for c in keep],
+            name(domain).alias("domain"), name(F.col("lang")).alias("lang"), name(F.col("source")).alias("source"),
             count_tokens().alias("tokens"),
         ),
         "tokens",
@@ -147,14 +158,37 @@ def select_documents(
         .where("_left > 0")
         .withColumns({"epoch": F.col("whole").cast("int"), "taken": F.least("tokens", "_left")})
     )
-    columns = ["doc_id", *LEVELS, "tokens", "epoch", "taken"]
+    columns = [*[F.col(f"`{c}`") for c in keep], *LEVELS, "tokens", "epoch", "taken"]
     return repeated.select(*columns).unionByName(prefix.select(*columns))
 
 
-def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]], **options) -> DataFrame:
-    """The rows of `docs`, once for each time the mix uses them, with `epoch` and
-    `taken`; a document that a prefix ends in is given whole. Rows without `doc_id`
-    are left out."""
-    chosen = select_documents(docs, domain, weights, **options).select("doc_id", "epoch", "taken").distinct()
-    kept = [c for c in docs.columns if c.lower() not in ("epoch", "taken")]
-    return docs.select(*kept).join(chosen, "doc_id").select(*kept, "epoch", "taken")
+# Between a word and the white space after it.
+_WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
+
+
+def first_words(text: str, n: str) -> Column:
+    """A text up to the end of its first `n` words, white space unchanged."""
+    return F.array_join(F.slice(F.split(F.col(text), _WORD_END), F.lit(1), F.col(n).cast("int")), "")
+
+
+def mix(
+    docs: DataFrame,
+    domain: Column,
+    weights: Mapping[str, Mapping[str, int]],
+    budget: int | None = None,
+    epochs: int = EPOCHS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of `docs`, once for each time the mix uses them, with `epoch`, `taken`
+    and `cut`: a text in which a leaf's prefix ends is cut to its first `taken` words
+    (`cut` is true), all others are whole. Each row is used by itself, also without
+    `doc_id` or where rows share one. Columns of these names are replaced."""
+    kept = [c for c in docs.columns if c.lower() not in ("epoch", "taken", "cut")]
+    own = {c: f"{PREFIX}{c}" for c in kept if c not in ("doc_id", "text")}
+    carried = docs.select(*kept).withColumns({new: F.col(f"`{c}`") for c, new in own.items()})
+    used = _use(carried, ["doc_id", "text", *own.values()], domain, weights, budget, epochs, seed)
+    cut = F.col("taken") < F.col("tokens")
+    text = F.when(cut, first_words("text", "taken")).otherwise(F.col("text"))
+    return used.select(
+        *[text.alias(c) if c == "text" else F.col(own.get(c, c)).alias(c) for c in kept], cut.alias("cut"), "epoch", "taken"
+    )
