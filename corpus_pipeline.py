@@ -36,8 +36,10 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many tokens as are left, by the weights of the mix; a document comes once
-    for each epoch that uses it."""
-    return mixing.mix(docs.select(*COLUMNS), source_domain(), MIX_WEIGHTS).select(*COLUMNS)
+    for each epoch that uses it, and is cut where the budget of its leaf ends."""
+    rows = mixing.mix(docs.select(*COLUMNS), source_domain(), MIX_WEIGHTS)
+    n_chars = F.when(F.col("cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return rows.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
