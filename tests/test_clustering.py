@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import nearest
 from millrace.functions.vectors import nearest_index_of
-from millrace.operators import clustering, evaluation, features, relational
+from millrace.operators import clustering, evaluation, features, pruned_kmeans, relational
+from millrace.sources import scratch_path
 
 COORDS = ["x", "y", "z", "w"]
 
@@ -154,3 +155,52 @@ for name in ("nearest_centroid", "lloyd_kmeans"):
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, check=True, timeout=300)
+
+
+@pytest.mark.parametrize("use", [None, ["x", "y"]])
+def test_pruned_rounds_equal_the_plain_loop(spark, use):
+    rng = random.Random(8)
+    centres = [[rng.uniform(-50, 50) for _ in range(4)] for _ in range(12)]
+    rows = [[c + rng.gauss(0, 2) for c in rng.choice(centres)] for _ in range(2000)] + [[1.0] * 4] * 5
+    frame, seeds = points(spark, rows).repartition(3), rows[:12]
+    plain = clustering.lloyd(frame, seeds, COORDS, use)
+    pruned = pruned_kmeans.lloyd_pruned(frame, seeds, COORDS, use)
+    assert pruned.rounds == plain.rounds > 2
+    assert np.array(pruned.centroids) == pytest.approx(np.array(plain.centroids))
+    assert pruned.sizes == plain.sizes and pruned.shifts == pytest.approx(plain.shifts)
+    assert pruned.distances[0] == len(rows) * 12
+    assert sum(pruned.distances) < 0.6 * len(rows) * 12 * pruned.rounds
+
+
+@pytest.mark.parametrize("loop", [clustering.lloyd, pruned_kmeans.lloyd_pruned])
+def test_a_stopped_run_goes_on(spark, loop):
+    rng = random.Random(9)
+    rows = [[rng.random() * 9 for _ in range(4)] for _ in range(300)]
+    frame, folder = points(spark, rows), scratch_path(spark, "rounds")
+    whole = loop(frame, rows[:7], COORDS, stop_movement=1e-9)
+    for rounds in (1, 2, 4, None, None):
+        result = loop(frame, rows[:7], COORDS, stop_movement=1e-9, max_iter=rounds, folder=folder)
+        assert result.rounds == (rounds or whole.rounds)
+    assert np.array(result.centroids) == pytest.approx(np.array(whole.centroids))
+    assert result.shifts == pytest.approx(whole.shifts) and result.sizes == whole.sizes
+    with pytest.raises(ValueError, match="other seeds"):
+        loop(frame, rows[1:8], COORDS, folder=folder)
+
+
+@pytest.mark.parametrize("loop", [clustering.lloyd, pruned_kmeans.lloyd_pruned])
+def test_points_without_a_number(spark, loop):
+    rows = [[0.0, 0.0, 0.0, 0.0], [1.0, 0.0, 0.0, 0.0], [9.0, 9.0, 9.0, 9.0], [math.nan, 0.0, 0.0, 0.0], [None, 1.0, 1.0, 1.0]]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, x double, y double, z double, w double")
+    with pytest.raises(ValueError, match="2 points"):
+        loop(frame, rows[:3], COORDS)
+    dropped = loop(frame, rows[:3], COORDS, invalid="drop")
+    assert dropped.centroids == loop(frame.where("id < 3"), rows[:3], COORDS).centroids
+    assert sum(dropped.sizes) == 3
+
+
+def test_library_fit_does_not_depend_on_the_layout(spark):
+    rng = random.Random(10)
+    rows = [[rng.random() for _ in range(4)] for _ in range(200)]
+    frame = features.assemble(points(spark, rows), COORDS)
+    fits = [clustering.fit_kmeans(f, k=5, max_iter=5).clusterCenters() for f in (frame.coalesce(1), frame.repartition(6))]
+    assert np.array(fits[0]) == pytest.approx(np.array(fits[1]))

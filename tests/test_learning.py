@@ -1,12 +1,16 @@
+import hashlib
 import math
 import random
+import re
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import classification, evaluation, features, regression, relational
+from millrace.operators import classification, evaluation, features, ranks, regression, relational
 from millrace.operators.ordering import running_totals
 
 
@@ -82,8 +86,8 @@ def test_indexing_and_encoding(spark):
 def test_unseen_category_and_missing_value_are_errors(spark):
     train = spark.createDataFrame([("a",), ("b",)], "c string")
     other = spark.createDataFrame([("z",)], "c string")
-    model = features.string_indexer(["c"]).fit(train)
-    with pytest.raises(Exception, match="Unseen label"):
+    model = features.rank_indexer(["c"]).fit(train)
+    with pytest.raises(Exception, match="no rank in column c: z"):
         model.transform(other).collect()
     missing = spark.createDataFrame([(1.0, None)], "a double, b double")
     with pytest.raises(Exception, match="null"):
@@ -108,7 +112,7 @@ def test_linear_recovers_a_plane(spark):
     model = regression.tune_linear(df, reg_params=(100.0, 1.0, 0.0))
     report = regression.tuning_report(spark, model).collect()
     assert [r.reg_param for r in report if r.is_best] == [0.0]
-    terms = {r.term: r.coefficient for r in regression.linear_report(spark, model.bestModel, ["a", "b"]).collect()}
+    terms = {r.term: r.coefficient for r in regression.linear_report(spark, model.model, ["a", "b"]).collect()}
     assert terms["a"] == pytest.approx(3, abs=0.01) and terms["b"] == pytest.approx(-2, abs=0.01)
     assert terms["(intercept)"] == pytest.approx(7, abs=0.05)
 
@@ -159,22 +163,80 @@ def test_a_callers_cache_survives_a_fit(spark):
     df.unpersist()
 
 
-def test_index_by_join_equals_the_indexer(spark):
+@pytest.mark.parametrize("popular", [3, 1000])
+def test_ranks_equal_the_librarys_indexer(spark, monkeypatch, tmp_path, popular):
+    monkeypatch.setattr(ranks, "POPULAR", popular)
     rng = random.Random(4)
-    rows = [(i, f"k{int(rng.random() ** 2 * 40)}") for i in range(400)] + [(i, "hot") for i in range(400, 600)]
-    df = spark.createDataFrame(rows, "id int, c string")
-    few = {r.id: r.c_index for r in features.index_categories(df, ["c"]).collect()}
-    many = {r.id: r.c_index for r in features.index_categories(df, ["c"], max_on_driver=3).collect()}
-    assert many == few and len(many) == 600 and many[599] == 0
-    missing = df.union(spark.createDataFrame([(0, None)], "id int, c string"))
-    with pytest.raises(Exception, match="no category"):
-        features.index_categories(missing, ["c"], max_on_driver=3).collect()
-
-
-def test_too_many_categories_for_a_model_are_refused(spark):
-    df = spark.range(50).withColumn("c", F.col("id").cast("string"))
-    with pytest.raises(ValueError, match="too many categories"):
-        features.one_hot(df, ["c"], limit=10)
+    rows = [(i, f"k{int(rng.random() ** 2 * 40)}", float(i % 3)) for i in range(400)] + [(i, "hot", 0.0) for i in range(400, 600)]
+    df = spark.createDataFrame(rows, "id int, c string, label double")
+    want = StringIndexer(inputCol="c", outputCol="i").fit(df).transform(df).select("id", "i").collect()
+    got = features.index_categories(df, ["c"])
+    assert got.columns == ["id", "c", "label", "c_index"]
+    assert {r.id: r.c_index for r in got.collect()} == {r.id: r.i for r in want}
+    missing = df.union(spark.createDataFrame([(0, None, 0.0)], "id int, c string, label double"))
+    with pytest.raises(Exception, match="no rank in column c: NULL"):
+        features.index_categories(missing, ["c"]).collect()
+    # In a pipeline, saved and loaded.
+    model = features.feature_pipeline(["c"], ["label", "c"]).fit(df)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    vectors = [m.transform(df).orderBy("id").select("features").collect() for m in (model, again)]
+    assert vectors[0] == vectors[1] and vectors[0][599].features.size == 1 + len({r[1] for r in rows}) - 1
+
+
+def test_a_million_categories(spark):
+    df = spark.range(1_000_000).select("id", F.concat(F.lit("v"), F.col("id")).alias("c"))
+    df = df.union(spark.range(1000).select("id", F.lit("v999999")))
+    indexed = features.index_categories(df, ["c"])
+    facts = indexed.agg(F.count_distinct("c_index").alias("n"), F.max("c_index").alias("last")).first()
+    assert (facts.n, facts["last"]) == (1_000_000, 999_999.0)
+    assert indexed.where("c = 'v999999'").select("c_index").distinct().collect() == [(0.0,)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 999, 1000, 2000])
+def test_least_rows_of_any_number(spark, monkeypatch, n):
+    """Cut by counts down to two rows, with equal marks and rows without a key."""
+    monkeypatch.setattr(relational, "CUT_ROWS", 2)
+    df = spark.range(990).withColumn("k", F.when(F.col("id") % 99 != 0, F.col("id"))).repartition(3)
+    got = relational.sample_by_hash(df, n, "k").collect()
+    marks = sorted(hashlib.md5(("" if i % 99 == 0 else str(i)).encode()).hexdigest() for i in range(990))
+    assert len(got) == min(n, 990)
+    assert sorted(hashlib.md5(("" if r.k is None else str(r.k)).encode()).hexdigest() for r in got) == marks[:n]
+
+
+def test_large_samples_are_not_limited_in_one_task(spark):
+    df = spark.range(400_000)
+    rows = relational.sample_by_hash(df, 200_000, "id")
+    assert rows.count() == 200_000
+    taken = [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", rows._jdf.queryExecution().toString())]
+    assert taken and max(taken) < 100
+
+
+def test_stored_parts_are_stable(spark):
+    """Disjoint and covering though the input is shuffled anew, on any number of cores."""
+    df = spark.range(3000).withColumn("x", F.rand())
+    for key in (None, "id"):
+        parts = relational.random_split(df, (0.5, 0.3, 0.2), seed=4, key=key)
+        ids = [{r.id for r in p.repartition(k + 2).collect()} for k, p in enumerate(parts)]
+        again = [{r.id for r in p.coalesce(1).collect()} for p in parts]
+        assert ids == again and sum(map(len, ids)) == 3000 and set().union(*ids) == set(range(3000))
+        assert parts[0].columns == ["id", "x"]
+    one = {r.id for r in relational.random_split(df.coalesce(1), seed=4, key="id")[0].collect()}
+    assert one == {r.id for r in relational.random_split(df.repartition(9), seed=4, key="id")[0].collect()}
+
+
+def test_tuning_does_not_depend_on_the_layout(spark):
+    rng = random.Random(2)
+    rows = [(i, 3.0 * (i % 17) + rng.gauss(0, 1), float(i % 17)) for i in range(500)]
+    df = features.assemble(spark.createDataFrame(rows, "id int, label double, a double"), ["a"])
+    metrics = [regression.tune_linear(d, key="id").metrics for d in (df.coalesce(1), df.repartition(6))]
+    assert metrics[0] == pytest.approx(metrics[1])
+
+
+def test_metrics_of_a_constant_label(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "label double, prediction double")
+    row = evaluation.regression_metrics(df).first()
+    assert row.r2 is None and row.mse == 0.5
 
 
 @pytest.mark.parametrize("coalesce", ["true", "false"])

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace.functions import split_fields
+from millrace.sources import quarantine, text
 from millrace.sources import (
     adjacency_lines,
     parse_adjacency,
@@ -94,3 +96,35 @@ def test_schema_report(spark):
         (1, "b c", "string", 1),
         (2, "t", "timestamp", 1),
     ]
+
+
+def test_quarantine_names_file_and_line(spark, tmp_path):
+    fields = [quarantine.Field("label", 0), quarantine.Field("x", 1, "double"), quarantine.Field("n", 3, "int")]
+    files = {
+        "a.txt": ["a,1.5,z,7", "b", "", "c,x,z,1", "d,2,z,1.5", "e,3,z,8,more"],
+        "b.txt": [f"r{i},{i},z,{i}" for i in range(5000)] + ["bad,1,z"] + [f"s{i},{i},z,{i}" for i in range(3000)] + ["worse,,z,3"],
+    }
+    for name, lines in files.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        checked = quarantine.check_fields(quarantine.read_located_lines(spark, str(tmp_path)), fields)
+        bad = sorted((os.path.basename(r.file), r.line, r.reason, r.value) for r in checked.bad.collect())
+        good = checked.good.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert bad == [
+        ("a.txt", 2, "no field 1", "b"),
+        ("a.txt", 3, "no field 1", ""),
+        ("a.txt", 4, "field 1 is no double", "c,x,z,1"),
+        ("a.txt", 5, "field 3 is no int", "d,2,z,1.5"),
+        ("b.txt", 5001, "no field 3", "bad,1,z"),
+        ("b.txt", 8002, "field 1 is no double", "worse,,z,3"),
+    ]
+    assert len(good) == 8002 and ("a", 1.5, 7) in [tuple(r) for r in good] and checked.good.columns == ["label", "x", "n"]
+
+
+def test_adjacency_of_names_and_bad_ids(spark):
+    lines = spark.createDataFrame([("a,b,c",), ("1,2,x,3",), ("x",)], "value string")
+    assert [tuple(r) for r in text.parse_adjacency(lines, names=True).collect()] == [("a", ["b", "c"]), ("1", ["2", "x", "3"]), ("x", [])]
+    assert [tuple(r) for r in text.parse_adjacency(lines, lenient=True).collect()] == [(None, []), (1, [2, 3]), (None, [])]
