@@ -12,6 +12,8 @@ ROWS_PER_PARTITION = 4_000_000
 # Up to here a table counts as small: shuffling it again costs next to nothing.
 SMALL_ROWS = 1_000_000
 SMALL_PARTITION = 50_000
+# 12 MB of keys and block counts.
+BROADCAST_KEYS = 1_000_000
 # No key is split below this many rows.
 BLOCK_ROWS = 100_000
 
@@ -22,7 +24,8 @@ class KeyProfile:
 
     `hot` has one (key, blocks) pair per key with more than `block_rows` rows.
     As `block_rows >= rows / (4 * partitions)`, it has at most 4 * partitions
-    entries, so it fits the driver and a broadcast whatever the data size.
+    entries: one per million rows of a large table, 12 bytes each. Up to
+    `BROADCAST_KEYS` of them are broadcast, more are joined by a shuffle.
     """
 
     rows: int
@@ -68,8 +71,10 @@ def with_blocks(df: DataFrame, key: str, profile: KeyProfile) -> DataFrame:
     hot = df.sparkSession.createDataFrame(
         list(profile.hot), "_hot_key bigint, _hot_blocks int"
     )
+    if len(profile.hot) <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     return (
-        df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+        df.join(hot, F.col(key) == F.col("_hot_key"), "left")
         .withColumn("blocks", F.coalesce("_hot_blocks", F.lit(1)))
         .drop("_hot_key", "_hot_blocks")
     )
