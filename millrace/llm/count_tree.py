@@ -14,7 +14,8 @@ both, or one would have left out m - d slabs, so linked documents meet. Below th
 R-trees over its documents' points, here folded to `GROUPS` groups: a node holds the
 largest count of each group and the least size below it, and two nodes are
 searched on only if the summed smaller counts can reach the overlap that their
-sizes require. What survives is confirmed on the full sets.
+sizes require. Pairs of documents that are left are bounded once more by `FINE_GROUPS`
+groups. What survives is confirmed on the full sets.
 
 Documents of one known component need no comparison. So first each document is
 compared with a hub, the document that meets most others in one of its slabs; in a
@@ -38,6 +39,7 @@ from millrace.llm.components import _stored, components
 from millrace.llm.frames import blocks_for
 
 GROUPS = 64
+FINE_GROUPS = 1024  # a multiple of GROUPS
 SLAB_BITS = 16
 FANOUT = 16
 LEAF = 512
@@ -110,6 +112,28 @@ _FEATURES = pa.schema(
 )
 
 
+def _packed(doc: np.ndarray, group: np.ndarray, docs: int) -> list[bytes]:
+    """Points of each document: a byte for each fine group, and what the counts are
+    together above 255. The excess is a group like others: counts and excess give
+    no smaller bound than the whole counts."""
+    out = []
+    first = np.searchsorted(doc, np.arange(docs + 1))
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        counts = np.bincount(group[a:b], minlength=FINE_GROUPS)
+        low = np.minimum(counts, 255)
+        out.append(low.astype(np.uint8).tobytes() + np.array([(counts - low).sum()], "<u4").tobytes())
+    return out
+
+
+def _unpacked(points: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fine counts, excess, coarse points with the excess as last group)."""
+    rows = np.frombuffer(b"".join(points), dtype=np.uint8).reshape(len(points), FINE_GROUPS + 4)
+    fine = rows[:, :FINE_GROUPS]
+    excess = np.ascontiguousarray(rows[:, FINE_GROUPS:]).view("<u4").astype(np.int64).ravel()
+    coarse = fine.reshape(len(points), -1, GROUPS).sum(axis=1, dtype=np.int64)
+    return fine, excess, np.column_stack([coarse, excess])
+
+
 def _features(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,8 +147,8 @@ def _features(size: int, percent: int):
                 if len(filled):
                     sums[0, filled] = np.add.reduceat(mix(hashes + np.uint64(1)), first[:-1][filled])
                     sums[1, filled] = np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first[:-1][filled])
-                group = (mix(hashes + np.uint64(7)) % np.uint64(GROUPS)).astype(np.int64)
-                points = np.bincount(doc * GROUPS + group, minlength=docs * GROUPS).astype(np.uint32).reshape(docs, GROUPS)
+                group = (mix(hashes + np.uint64(7)) % np.uint64(FINE_GROUPS)).astype(np.int64)
+                points = _packed(doc, group, docs)
                 owner, keys = _slab_keys(doc, hashes, sizes, percent)
                 at = np.searchsorted(owner, np.arange(docs + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -133,7 +157,7 @@ def _features(size: int, percent: int):
                         pa.array(sizes.astype(np.int64)),
                         *[pa.array(s.view(np.int64)) for s in sums],
                         pa.ListArray.from_arrays(pa.array(at), pa.array(keys.view(np.int64))),
-                        pa.array([p.tobytes() for p in points], pa.binary()),
+                        pa.array(points, pa.binary()),
                     ],
                     schema=_FEATURES,
                 )
@@ -191,7 +215,7 @@ def _search(percent: int):
         table = table.sort_by([("task", "ascending"), ("n", "ascending"), ("id", "ascending")]).combine_chunks()
         task, ids, names, sizes = (np.asarray(table[c]) for c in ("task", "id", "component", "n"))
         in_left, in_right = (np.asarray(table[c]) for c in ("left", "right"))
-        points = np.frombuffer(b"".join(table["point"].to_pylist()), dtype=np.uint32).reshape(-1, GROUPS).astype(np.int64)
+        fine, excess, points = _unpacked(table["point"].to_pylist())
         cuts = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
         found = [np.zeros((0, 2), dtype=np.int64)]
         for first, end in zip(cuts[:-1], cuts[1:]):
@@ -203,7 +227,13 @@ def _search(percent: int):
                 height += 1
             trees = [_Tree(points[s], sizes[s], names[s], height) for s in sides]
             a, b = tree_join(*trees, percent)
-            a, b = ids[sides[0][a]], ids[sides[1][b]]
+            a, b = sides[0][a], sides[1][b]
+            near = np.zeros(len(a), dtype=bool)
+            for at in range(0, len(a), 1 << 12):
+                x, y = a[at : at + (1 << 12)], b[at : at + (1 << 12)]
+                shared = np.minimum(fine[x], fine[y]).sum(axis=1, dtype=np.int64) + np.minimum(excess[x], excess[y])
+                near[at : at + (1 << 12)] = (100 + percent) * shared >= percent * (sizes[x] + sizes[y])
+            a, b = ids[a[near]], ids[b[near]]
             found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)

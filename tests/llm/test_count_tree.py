@@ -102,3 +102,19 @@ def test_size_classes():
         for n in range(1, 1500):
             assert 0 <= of(100 * n // percent) - of(n) <= 1
         assert (np.diff(bounds) > 0).all()
+
+
+def test_packed_points_bound_the_overlap():
+    """Also of documents with counts beyond a byte."""
+    rng = np.random.default_rng(4)
+    counts = rng.integers(0, 5, size=(6, count_tree.FINE_GROUPS))
+    counts[3:, :40] += rng.integers(0, 900, size=(3, 40))
+    doc = np.repeat(np.arange(6), counts.sum(axis=1))
+    group = np.concatenate([np.repeat(np.arange(count_tree.FINE_GROUPS), row) for row in counts])
+    fine, excess, coarse = count_tree._unpacked(count_tree._packed(doc, group, 6))
+    assert (fine.sum(axis=1, dtype=np.int64) + excess == counts.sum(axis=1)).all()
+    for a in range(6):
+        for b in range(6):
+            shared = np.minimum(counts[a], counts[b]).sum()
+            bound = np.minimum(fine[a], fine[b]).sum(dtype=np.int64) + min(excess[a], excess[b])
+            assert shared <= bound <= np.minimum(coarse[a], coarse[b]).sum()
