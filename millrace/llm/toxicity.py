@@ -28,47 +28,50 @@ SAMPLE = 20_000
 FEATURES = 1 << 13
 MIN_TEXTS = 3
 PER = 2000
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Lower-cased texts as code points with their text numbers, at most about a
-    million at once; a longer text in overlapping pieces."""
+def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Lower-cased texts as code points, with their text numbers and whether an n-gram
+    may begin there, at most about `_PIECE` at once. A longer text comes in pieces
+    that overlap by what an n-gram begun inside one may need of the next."""
     parts, numbers, held = [], [], 0
     for i, text in enumerate(texts):
         text = (text or "").lower()
-        for at in range(0, max(len(text) - max(ORDERS) + 1, 1), _PIECE):
+        for at in range(0, max(len(text), 1), _PIECE):
             piece = text[at : at + _PIECE + max(ORDERS) - 1]
             parts.append(piece)
             numbers.append((i, len(piece)))
             held += len(piece)
             if held >= _PIECE:
-                yield _codes(parts), _numbers(numbers)
+                yield _codes(parts), *_numbers(numbers)
                 parts, numbers, held = [], [], 0
     if parts:
-        yield _codes(parts), _numbers(numbers)
+        yield _codes(parts), *_numbers(numbers)
 
 
 def _codes(parts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(parts).encode("utf-32-le", "replace"), dtype="<u4").astype(np.uint64)
 
 
-def _numbers(pairs: list[tuple[int, int]]) -> np.ndarray:
-    return np.repeat(np.array([i for i, _ in pairs]), [n for _, n in pairs])
+def _numbers(pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = [n for _, n in pairs]
+    begins = np.concatenate([np.arange(n) < _PIECE for n in sizes])
+    return np.repeat(np.array([i for i, _ in pairs]), sizes), begins
 
 
 def present(texts: list[str | None], useful: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, bucket, count) of the n-grams; of useful buckets only, if given."""
     found, counts = [], []
-    for codes, text in _pieces(texts):
+    for codes, text, begins in _pieces(texts):
         value = codes.copy()
         for order in range(2, max(ORDERS) + 1):
             value = value[: len(codes) - order + 1] * _BASE + codes[order - 1 :]
             if order not in ORDERS or not len(value):
                 continue
             bucket = (mix(value + np.uint64(order)) >> np.uint64(64 - BITS)).astype(np.int64)
-            keep = text[: len(value)] == text[order - 1 :]
+            keep = begins[: len(value)] & (text[: len(value)] == text[order - 1 :])
             if useful is not None:
                 keep &= useful[bucket]
             pairs, times = np.unique(text[: len(value)][keep] << BITS | bucket[keep], return_counts=True)
