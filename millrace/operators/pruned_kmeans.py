@@ -131,8 +131,13 @@ def lloyd_pruned(
     d = len(coords)
     base = folder or scratch_path(spark, "pruned")
     result = PrunedResult(np.asarray(seeds, dtype=float).tolist(), coords)
-    log = RoundLog(spark, f"{base}/log")
-    log.restore(result)
+    log = RoundLog(spark, f"{base}/log") if folder else None
+    before = None
+    if log:
+        log.restore(result)
+        if result.rounds:
+            previous = log.rounds().where(F.col("round") == result.rounds - 1).orderBy("cluster")
+            before = np.array([r.center for r in previous.collect()])  # K rows
     schema = "point boolean, cluster int, n bigint, upper double, lower double" + "".join(f", c{i} double" for i in range(d))
 
     def table(number: int) -> DataFrame:
@@ -143,10 +148,9 @@ def lloyd_pruned(
         if number == 0:
             start = [F.lit(True).alias("point"), F.lit(0).alias("cluster"), F.lit(1).cast("bigint").alias("n")]
             start += [F.lit(float("inf")).alias("upper"), F.lit(0.0).alias("lower")]
-            rows, before = points.select(*start, *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(coords)]), None
+            rows = points.select(*start, *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(coords)])
         else:
             rows = table(number).where("point")
-            before = np.array([r.center for r in log.rounds().where(F.col("round") == number - 1).orderBy("cluster").collect()])
         now = np.asarray(result.centroids)
         rows.mapInArrow(_advance(before, now, use, d), schema).write.mode("overwrite").parquet(f"{base}/round={number + 1:06d}")
         sums = (
@@ -156,5 +160,7 @@ def lloyd_pruned(
         )
         result.distances.append(sum(r.n for r in sums if r.cluster == -2))
         move(result, [tuple(r) for r in sums if r.cluster != -2], use, invalid)
-        log.add(result)
+        before = now
+        if log:
+            log.add(result)
     return result
