@@ -21,7 +21,10 @@ Documents of one known component need no comparison. So first each document is
 compared with a hub, the document that meets most others in one of its slabs; in a
 group of near copies that is one close to their origin. The trees then search
 slabs that still hold several components, in blocks of at most about `LEAF` documents;
-those of a slab's largest component are only compared with others.
+those of a slab's largest component are only compared with others. A first search hands
+on a forest of its pairs, no more than there are documents, so dense groups do not
+multiply; a second one, when the components have grown by those that are links, hands
+on all pairs that are left.
 """
 
 from __future__ import annotations
@@ -207,8 +210,27 @@ def tree_join(left: _Tree, right: _Tree, percent: int) -> tuple[np.ndarray, np.n
     return a, b
 
 
-def _search(percent: int):
-    """Rows (task, id, component, n, point, left, right) to candidate pairs (a, b)."""
+def _find(parent: dict[int, int], x: int) -> int:
+    while parent.get(x, x) != x:
+        parent[x] = x = parent.get(parent[x], parent[x])
+    return x
+
+
+def _forest(pairs: np.ndarray, named: dict[int, int]) -> np.ndarray:
+    """As many of the pairs as join all components that the pairs join."""
+    parent: dict[int, int] = {}
+    kept = []
+    for i, (a, b) in enumerate(pairs.tolist()):
+        a, b = _find(parent, named[a]), _find(parent, named[b])
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            kept.append(i)
+    return pairs[kept]
+
+
+def _search(percent: int, forest: bool):
+    """Rows (task, id, component, n, point, left, right) to candidate pairs (a, b); with
+    `forest` no more than would join all their components, were they all links."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
@@ -236,6 +258,8 @@ def _search(percent: int):
             a, b = ids[a[near]], ids[b[near]]
             found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
         pairs = np.unique(np.concatenate(found), axis=0)
+        if forest:
+            pairs = _forest(pairs, dict(zip(ids.tolist(), names.tolist())))
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     return run
@@ -279,8 +303,9 @@ class _Join:
             .select((-F.col("hub.order")).alias("a"), "b")
         )
 
-    def tree_pairs(self, rows: DataFrame) -> DataFrame:
-        """(a, b): pairs of different components that the trees leave over.
+    def tree_pairs(self, rows: DataFrame, forest: bool) -> DataFrame:
+        """(a, b): pairs of different components that the trees leave over, or a forest
+        of them.
 
         Per slab, blocks of documents outside the largest component meet each other,
         and blocks of that component.
@@ -320,7 +345,7 @@ class _Join:
             .drop("_id")
             .withColumn("_group", F.pmod(F.col("task"), F.lit(groups)))
             .groupBy("_group")
-            .applyInArrow(_search(self.percent), "a bigint, b bigint")
+            .applyInArrow(_search(self.percent, forest), "a bigint, b bigint")
         )
 
     def confirm(self, pairs: DataFrame) -> None:
@@ -397,7 +422,8 @@ def jaccard_join(docs: DataFrame, shingle: int = 5, percent: int = 80, leaf: int
     join = _Join(docs, _stored(tokens, "tokens"), links, shingle, percent, leaf)
     for _ in range(HUB_ROUNDS):
         join.confirm(join.hub_pairs(join.open_slabs(HUB_SHARE)))
-    join.confirm(join.tree_pairs(join.open_slabs()))
+    for forest in (True, False):
+        join.confirm(join.tree_pairs(join.open_slabs(), forest))
     names = join.names.withColumnRenamed("id", "_id")
     named = classes.join(names, F.col("id") == F.col("_id"), "left").select(
         "n", "f1", "f2", "size", F.coalesce("component", "id").alias("component_id")
