@@ -8,8 +8,10 @@ two independent hashes, 128 bits together.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from inspect import signature
 
 import numpy as np
 import pyarrow as pa
@@ -110,3 +112,38 @@ def text_runs(column: pa.Array, most_bytes: int) -> Iterator[tuple[int, int, np.
         end = min(max(end, row + 1), n)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+
+
+def _let_go() -> None:
+    """Give back memory that is no longer used. A Python worker lives as long as the
+    application, beside the workers of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """`run`, over Arrow batches, that gives back its memory at the end of a task."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _let_go()
+
+    return tidied
+
+
+def tidy_group(run: Callable) -> Callable:
+    """`run`, over one table or two, that gives back its memory after each group."""
+
+    def one(table: pa.Table) -> pa.Table:
+        out = run(table)
+        _let_go()
+        return out
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        _let_go()
+        return out
+
+    return one if len(signature(run).parameters) == 1 else two

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import Words, mix, span_hashes, text_runs
+from millrace.llm.arrays import Words, mix, span_hashes, text_runs, tidy, tidy_group
 from millrace.llm.components import _stored, components
 from millrace.llm.frames import blocks_for
 
@@ -295,7 +295,7 @@ class _Join:
             keyed.join(self.sets, "id")
             .withColumn("_group", F.pmod(F.col("pair"), F.lit(groups)))
             .groupBy("_group")
-            .applyInArrow(_compare(self.percent), "a bigint, b bigint")
+            .applyInArrow(tidy_group(_compare(self.percent)), "a bigint, b bigint")
         )
         self.extend(found)
 
@@ -329,7 +329,7 @@ class _Join:
         if ids.count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
         chosen = self.docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-        self.sets = _stored(chosen.mapInArrow(_sets(self.size), "id bigint, shingles array<bigint>"), "sets")
+        self.sets = _stored(chosen.mapInArrow(tidy(_sets(self.size)), "id bigint, shingles array<bigint>"), "sets")
 
 
 def near_duplicates(
@@ -350,7 +350,7 @@ def near_duplicates(
     docs = docs.select("doc_id", "text")
     features = _stored(
         docs.mapInArrow(
-            _features(shingle), "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sketch bigint, minwise binary"
+            tidy(_features(shingle)), "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sketch bigint, minwise binary"
         ),
         "features",
     )

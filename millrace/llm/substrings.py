@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import Words, text_runs
+from millrace.llm.arrays import Words, text_runs, tidy_group
 from millrace.llm.frames import PREFIX, blocks_for, hash_block, schema_with, text_bytes, without
 
 LENGTH = 13
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_WINDOWS = 2 << 20
 _BYTES_PER_WORD = 6
 _LOW = np.uint64((1 << 40) - 1)
@@ -249,13 +249,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHU
         f"{PREFIX}tie", F.xxhash64("text")
     )
     by_chunk = held.groupBy(_CHUNK)
-    entries = by_chunk.applyInArrow(_count_entries(length, buckets), f"{_BUCKET} int, {_CHUNK} int, entries binary")
+    entries = by_chunk.applyInArrow(tidy_group(_count_entries(length, buckets)), f"{_BUCKET} int, {_CHUNK} int, entries binary")
     bits = f"{_CHUNK} int, {_BUCKET} int, bits binary"
-    shared = entries.groupBy(_BUCKET).applyInArrow(_shared, bits)
+    shared = entries.groupBy(_BUCKET).applyInArrow(tidy_group(_shared), bits)
     candidates = by_chunk.cogroup(shared.groupBy(_CHUNK)).applyInArrow(
-        _candidate_entries(length, buckets), f"{_BUCKET} int, {_CHUNK} int, entries binary"
+        tidy_group(_candidate_entries(length, buckets)), f"{_BUCKET} int, {_CHUNK} int, entries binary"
     )
-    smaller = candidates.groupBy(_BUCKET).applyInArrow(_smaller_elsewhere, bits)
+    smaller = candidates.groupBy(_BUCKET).applyInArrow(tidy_group(_smaller_elsewhere), bits)
     answers = shared.withColumn("round", F.lit(1)).unionByName(smaller.withColumn("round", F.lit(2)))
     out = schema_with(docs, "n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, left_text string")
     remove = _remove(length, buckets, to_arrow_schema(out))
@@ -264,4 +264,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHU
         rounds = np.asarray(answers_["round"])
         return remove(docs_, answers_.filter(pa.array(rounds == 1)), answers_.filter(pa.array(rounds == 2)))
 
-    return by_chunk.cogroup(answers.groupBy(_CHUNK)).applyInArrow(last, out)
+    return by_chunk.cogroup(answers.groupBy(_CHUNK)).applyInArrow(tidy_group(last), out)

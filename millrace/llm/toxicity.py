@@ -18,7 +18,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrays import mix
+from millrace.llm.arrays import mix, tidy
 from millrace.llm.components import _stored
 from millrace.llm.frames import schema_with, without
 
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
 
     counts = (
         rows.select("text", "toxic")
-        .mapInArrow(_counts, "bucket bigint, clean bigint, toxic bigint")
+        .mapInArrow(tidy(_counts), "bucket bigint, clean bigint, toxic bigint")
         .groupBy("bucket")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(F.col("clean") + F.col("toxic") >= MIN_TEXTS)
@@ -170,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
 
     size = len(buckets)
     vector = F.udf(lambda at, scaled: Vectors.sparse(size, at, scaled), VectorUDT())  # on `sample` rows
-    train = rows.select("text", "toxic").mapInArrow(chosen_features, "label double, at array<bigint>, scaled array<double>")
+    train = rows.select("text", "toxic").mapInArrow(tidy(chosen_features), "label double, at array<bigint>, scaled array<double>")
     train = train.select("label", vector("at", "scaled").alias("features")).persist()
     try:
         model = LogisticRegression(maxIter=60, regParam=1e-4, standardization=False).fit(train)
@@ -202,7 +202,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] | None = None) -> D
                 scores = pa.array(1 / (1 + np.exp(-np.clip(sums, -500, 500))))
                 yield pa.RecordBatch.from_arrays([*[part[f.name].cast(f.type) for f in list(schema)[:-1]], scores], schema=schema)
 
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(tidy(run), out)
 
 
 def held_out(doc_id: str = "doc_id"):
