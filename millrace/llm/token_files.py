@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import Encoder, byte_characters, read_file
+from millrace.llm.bpe import Encoder, Remembered, Splitter, by_words, byte_characters, read_file, special_tokens
+from millrace.llm.components import _stored
 
 END_ID = 1
 _FILE = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<int>"
@@ -26,17 +27,19 @@ _FILE = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<
 
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> Encoder:
-    """Words by the model of the tokenizers library, pieces remembered."""
+    """Words by the model of the tokenizers library; recent ones are remembered."""
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path).model
     chars = byte_characters()
 
-    def word(text: str) -> bytes:
-        shown = text if text.isascii() and text.isprintable() else "".join([chars[b] for b in text.encode()])
+    def ids(word: str) -> bytes:
+        shown = word if word.isascii() and word.isprintable() else "".join([chars[b] for b in word.encode()])
         return np.array([t.id for t in model.tokenize(shown)], "<u4").tobytes()
 
-    return Encoder(read_file(path), word)
+    words = lambda many: list(map(ids, many))
+    file = read_file(path)
+    return Encoder(special_tokens(file), Remembered(by_words(Splitter(file), words)))
 
 
 def write_token_files(
@@ -55,38 +58,60 @@ def write_token_files(
     rows that share a `doc_id` stay, in the order of a hash of their texts. Other
     columns are not written. An empty table makes a folder without rows.
     """
+    file = read_file(tokenizer_path)
+    # Ids travel in two bytes each where the vocabulary allows it.
+    largest = max(end_id, max(file["model"]["vocab"].values()), *special_tokens(file).values())
+    width = "<u2" if largest < 1 << 16 else "<u4"
+    encoded = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("ids", pa.binary())])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = library_encoder(tokenizer_path)
+        for batch in batches:
+            for row, end, ids, offsets in encoder(batch["text"]):
+                ends = offsets[1:] + np.arange(1, end - row + 1)
+                body = np.insert(ids, offsets[1:], end_id).astype(width)
+                at = np.r_[0, ends * body.itemsize].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"].slice(row, end - row).cast(pa.int64()),
+                        batch["mark"].slice(row, end - row),
+                        pa.Array.from_buffers(pa.binary(), end - row, [None, pa.py_buffer(at), pa.py_buffer(body)]),
+                    ],
+                    schema=encoded,
+                )
+
     schema = pa.schema(
         [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer_path)
-        end = np.array([end_id], "<u4").tobytes()
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                ids = [encoder(t) + end for t in part["text"].to_pylist()]
-                counts = np.array([len(i) // 4 for i in ids], dtype=np.int64)
-                ends = np.cumsum(counts)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                ids = part["ids"].to_pylist()
+                values = np.frombuffer(b"".join(ids), width).astype(np.int32)
+                ends = np.cumsum([len(i) for i in ids]) // np.dtype(width).itemsize
+                counts = np.diff(np.r_[0, ends])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part["doc_id"].cast(pa.int64()),
+                        part["doc_id"],
                         part["part"],
                         pa.array(total + ends - counts),
                         pa.array(counts),
-                        pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values),
+                        pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(values)),
                     ],
                     schema=schema,
                 )
                 total += int(ends[-1])
 
+    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(encode, "doc_id bigint, mark bigint, ids binary")
+    # Written once, so that neither the ranges nor the sort encode or move a text.
     (
-        docs.select("doc_id", "text")
-        .repartitionByRange(F.col("doc_id").asc())
-        .sortWithinPartitions(F.col("doc_id").asc(), F.xxhash64("text"))
+        _stored(ids, "encoded")
+        .repartitionByRange(F.col("doc_id").asc(), F.col("mark").asc())
+        .sortWithinPartitions(F.col("doc_id").asc(), F.col("mark").asc())
         .withColumn("part", F.spark_partition_id())
-        .mapInArrow(run, _FILE)
+        .mapInArrow(place, _FILE)
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", str(false_positives))
         .option("orc.create.index", "true")
