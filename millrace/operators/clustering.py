@@ -24,6 +24,8 @@ FEW_CLUSTERS_MAX_ITER = 30
 NO_ITERATION_LIMIT = 2147483647
 SEED = 1
 STOP_MOVEMENT = 0.1
+# Seeds nearer than this, relative to the largest of their coordinate, are the same.
+SEED_ROUNDING = 1e-12
 
 Centroids = Sequence[Sequence[float]]
 
@@ -196,6 +198,15 @@ def lloyd(
     return result
 
 
+def _same_up_to_rounding(a: Centroids, b: Centroids) -> bool:
+    """Whether two lists of centroids differ by no more than the order of sums can."""
+    x, y = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+    if x.shape != y.shape:
+        return False
+    largest = np.abs(x).max(axis=0, initial=0.0)
+    return bool(((x == y) | (np.abs(x - y) <= SEED_ROUNDING * largest)).all())
+
+
 _ROUNDS = "round int, cluster int, center array<double>, size bigint, shift double"
 
 
@@ -220,7 +231,8 @@ class RoundLog:
 
     def restore(self, result: LloydResult) -> None:
         """Set `result` to the last round; start the log, if it is empty, with the
-        seeds. Seeds other than the log's are an error."""
+        seeds. Seeds other than the log's are an error, but for rounding: a run that
+        derives its points anew may add up doubles in another order."""
         try:
             rows = self.rounds().orderBy("round", "cluster").collect()  # K rows a round
         except AnalysisException:  # no such folder yet
@@ -228,7 +240,7 @@ class RoundLog:
         if not rows:
             self.add(result)
             return
-        if [list(r.center) for r in rows if r.round == 0] != result.centroids:
+        if not _same_up_to_rounding([list(r.center) for r in rows if r.round == 0], result.centroids):
             raise ValueError(f"{self.folder} holds the rounds of other seeds")
         last = rows[-1].round
         result.centroids = [list(r.center) for r in rows if r.round == last]

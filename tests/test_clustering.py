@@ -187,6 +187,20 @@ def test_a_stopped_run_goes_on(spark, loop):
         loop(frame, rows[1:8], COORDS, folder=folder)
 
 
+@pytest.mark.parametrize("loop", [clustering.lloyd, pruned_kmeans.lloyd_pruned])
+def test_a_run_goes_on_with_seeds_added_up_in_another_order(spark, loop):
+    rng = random.Random(11)
+    rows = [[rng.random() * 9 for _ in range(4)] for _ in range(100)]
+    frame, folder = points(spark, rows), scratch_path(spark, "rounds")
+    loop(frame, rows[:5], COORDS, max_iter=1, folder=folder)
+    rounded = [[math.nextafter(x, 10.0) for x in row] for row in rows[:5]]
+    result = loop(frame, rounded, COORDS, max_iter=2, folder=folder)
+    assert result.centroids == loop(frame, rows[:5], COORDS, max_iter=2).centroids
+    for others in ([[x + 1e-9 for x in row] for row in rows[:5]], rows[:4]):
+        with pytest.raises(ValueError, match="other seeds"):
+            loop(frame, others, COORDS, folder=folder)
+
+
 @pytest.mark.parametrize("loop", [clustering.lloyd, pruned_kmeans.lloyd_pruned])
 def test_points_without_a_number(spark, loop):
     rows = [[0.0, 0.0, 0.0, 0.0], [1.0, 0.0, 0.0, 0.0], [9.0, 9.0, 9.0, 9.0], [math.nan, 0.0, 0.0, 0.0], [None, 1.0, 1.0, 1.0]]
