@@ -165,20 +165,26 @@ class Remembered:
     the young one is full it becomes the old one, and what is not asked for again
     is gone the next time."""
 
-    def __init__(self, of: Callable[[list[str]], list[bytes]]):
-        self.of, self.young, self.old, self.size = of, {}, {}, 0
+    def __init__(self, of: Callable[[list[str]], list[bytes]], most_bytes: int = REMEMBERED_BYTES):
+        self.of, self.young, self.old, self.size, self.most_bytes = of, {}, {}, 0, most_bytes
 
     def __call__(self, many: list[str]) -> list[bytes]:
         young, old = self.young, self.old
-        found = [young.get(key) or old.get(key) for key in many]
-        new = [i for i, ids in enumerate(found) if ids is None]
+        found = list(map(young.get, many))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in missed:
+            found[i] = ids = old.get(many[i])
+            if ids is None:
+                new.append(i)
         for i, ids in zip(new, self.of([many[i] for i in new]) if new else ()):
             found[i] = ids
-        for key, ids in zip(many, found):
-            if key not in young and len(key) <= LONGEST_REMEMBERED:
-                young[key] = ids
+        for i in missed:
+            key = many[i]
+            if len(key) <= LONGEST_REMEMBERED:
+                young[key] = ids = found[i]
                 self.size += len(key) + len(ids) + _ENTRY_BYTES
-        if self.size > REMEMBERED_BYTES // 2:
+        if self.size > self.most_bytes // 2:
             self.young, self.old, self.size = {}, young, 0
         return found
 
@@ -194,10 +200,12 @@ class Splitter:
         library = Tokenizer.from_str(json.dumps(rules))
         self.normalize = library.normalizer.normalize_str
         self.split = library.pre_tokenizer.pre_tokenize_str
-        self.bytes = {c: b for b, c in enumerate(byte_characters())}
+        self.bytes = {ord(c): b for b, c in enumerate(byte_characters())}
 
     def _spelt(self, shown: str) -> str:
-        return bytes([self.bytes[c] for c in shown]).decode()
+        if shown.isascii():  # printable, so each stands for itself
+            return shown
+        return shown.translate(self.bytes).encode("latin-1").decode()
 
     def _beyond_ascii(self, chunks: list[str]) -> list[list[str]]:
         joined = self.normalize(" ".join(chunks))
@@ -255,7 +263,8 @@ class Encoder:
     unsigned 32-bit integers). Strings of special tokens inside a text become those
     tokens."""
 
-    def __init__(self, special: dict[str, int], units: Callable[[list[str]], list[bytes]]):
+    def __init__(self, special: dict[str, int], units: Callable[[list[str]], list[bytes]], run_bytes: int = _RUN_BYTES):
+        self.run_bytes = run_bytes
         self.special = {name: np.array([i], "<u4") for name, i in special.items()}
         names = sorted(special, key=len, reverse=True)
         self.marker = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
@@ -309,7 +318,7 @@ class Encoder:
                 ids = self._marked(texts[low].as_py())
                 yield low, high, ids, np.array([0, len(ids)])
                 continue
-            for row, end, data, offsets in text_runs(texts.slice(low, high - low), _RUN_BYTES):
+            for row, end, data, offsets in text_runs(texts.slice(low, high - low), self.run_bytes):
                 ids, ends = self._plain(data, offsets)
                 yield low + row, low + end, ids, np.r_[0, ends]
 

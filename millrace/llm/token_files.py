@@ -22,6 +22,9 @@ from millrace.llm.bpe import Encoder, Remembered, Splitter, by_words, byte_chara
 from millrace.llm.components import _stored
 
 END_ID = 1
+# More than the round trip has: new words, each a call of the library, are what takes time.
+REMEMBERED_BYTES = 96 << 20
+RUN_BYTES = 4 << 20
 _FILE = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<int>"
 
 
@@ -30,16 +33,18 @@ def library_encoder(path: str) -> Encoder:
     """Words by the model of the tokenizers library; recent ones are remembered."""
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path).model
-    chars = byte_characters()
+    tokenize = Tokenizer.from_file(path).model.tokenize
+    chars = dict(enumerate(byte_characters()))
+    file = read_file(path)
+    packed = [i.to_bytes(4, "little") for i in range(max(file["model"]["vocab"].values()) + 1)]
 
     def ids(word: str) -> bytes:
-        shown = word if word.isascii() and word.isprintable() else "".join([chars[b] for b in word.encode()])
-        return np.array([t.id for t in model.tokenize(shown)], "<u4").tobytes()
+        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(chars)
+        return b"".join([packed[t.id] for t in tokenize(shown)])
 
     words = lambda many: list(map(ids, many))
-    file = read_file(path)
-    return Encoder(special_tokens(file), Remembered(by_words(Splitter(file), words)))
+    remembered = Remembered(by_words(Splitter(file), words), REMEMBERED_BYTES)
+    return Encoder(special_tokens(file), remembered, RUN_BYTES)
 
 
 def write_token_files(

@@ -348,3 +348,37 @@ def test_digests(spark, sf_dir):
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert json.dumps([r.doc_id for r in rows])
+
+
+def test_words_are_remembered_up_to_a_given_size():
+    asked = []
+
+    def of(many):
+        asked.extend(many)
+        return [b"" if w == "empty" else w.encode() for w in many]
+
+    words = [f"w{i}" for i in range(1000)] + ["empty"]
+    large, small = bpe.Remembered(of, 1 << 22), bpe.Remembered(of, 1 << 12)
+    assert large(words) == [w.encode() for w in words[:-1]] + [b""]
+    asked.clear()
+    large(words)
+    assert not asked  # no ids are an answer too
+    small(words)
+    small(["x" * bpe.LONGEST_REMEMBERED])
+    asked.clear()
+    assert small(["w0", "w0"]) == [b"w0", b"w0"] and not asked  # of the old generation
+    for i in range(30):
+        small([f"{i}" * 20])
+    small(["w1"])
+    assert "w1" in asked
+
+
+def test_token_files_remember_more_words_than_the_round_trip():
+    path = queries.tokenizer_path()
+    encoder, plain = token_files.library_encoder(path), bpe.merge_encoder(path)
+    assert encoder.units.most_bytes > plain.units.most_bytes
+    texts = pa.array(["a bc", None, "déf <s> g h's 12"] * 3)
+    for run_bytes in (4, 1 << 22):
+        small = bpe.Encoder(bpe.special_tokens(bpe.read_file(path)), encoder.units, run_bytes)
+        found, want = ([i for _, _, ids, _ in e(texts) for i in ids.tolist()] for e in (small, plain))
+        assert found == want and len(found) > 9
