@@ -2,8 +2,8 @@
 
 Vectors are integers; a dimension is a term. Candidates are dealt into blocks,
 queries into groups, and each block meets each group once, by a join on the
-block number. In a task, every term's postings (the block's candidates with a
-nonzero weight) are scaled by the queries' nonzero weights and added into a dense
+block number. In a task, the postings of a few terms at a time (the block's candidates
+with a nonzero weight) are multiplied by the queries' weights and added into a dense
 array of scores. The k best of each query and block go on to a merge of at most
 k rows per block.
 """
@@ -19,6 +19,8 @@ from millrace.llm.frames import PREFIX, blocks_for, hash_block
 
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
+# Terms whose products are added at once.
+TERMS = 16
 _SCORES = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -46,25 +48,21 @@ def _dense(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _accumulate(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Scores of all pairs, term after term."""
+    """Scores of all pairs, a few terms after the others. Floating point is used
+    only where all its sums of these integers are exact."""
     terms = min(queries.shape[1], block.shape[1])
     queries, block = queries[:, :terms], block[:, :terms]
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(block).max(initial=0)) * max(terms, 1)
-    kind = np.int32 if largest < 2**31 else np.int64
+    kind = np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else np.int64
     queries, postings = queries.astype(kind), np.ascontiguousarray(block.T.astype(kind))
     scores = np.zeros((len(queries), len(block)), dtype=kind)
-    room = np.empty(len(block), dtype=kind)
-    for term in range(terms):
-        at = np.flatnonzero(postings[term])
-        weights = postings[term][at]
-        if not len(at):
-            continue
-        for q in np.flatnonzero(queries[:, term]):
-            if len(at) == len(block):
-                np.multiply(weights, queries[q, term], out=room)
-                scores[q] += room
-            else:
-                scores[q, at] += weights * queries[q, term]
+    for first in range(0, terms, TERMS):
+        wanted, weights = queries[:, first : first + TERMS], postings[first : first + TERMS]
+        at, some = np.flatnonzero(weights.any(axis=0)), np.flatnonzero(wanted.any(axis=1))
+        if len(at) == len(block) and len(some) == len(queries):
+            scores += wanted @ weights
+        elif len(at) and len(some):
+            scores[np.ix_(some, at)] += wanted[some] @ weights[:, at]
     return scores
 
 

@@ -197,3 +197,14 @@ def test_pipeline_on_odd_rows(spark, sf_dir, tmp_path):
             stage(spark, docs, sf_dir).write.parquet(path)
             docs = spark.read.parquet(path)
         assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
+
+
+@pytest.mark.parametrize("scale, kind", [(60, np.float32), (10**6, np.float64), (10**8, np.int64)])
+def test_scores_of_groups_of_terms_are_exact(scale, kind):
+    rng = np.random.default_rng(9)
+    terms = 2 * topk.TERMS + 3
+    queries, block = (rng.integers(-scale, scale + 1, size=(n, terms)) * (rng.random((n, terms)) < 0.1) for n in (9, 40))
+    queries[0], block[0] = scale, scale
+    queries[3], block[:, : topk.TERMS] = 0, 0
+    scores = topk._accumulate(queries, block)
+    assert scores.dtype == kind and (scores.astype(np.int64) == queries @ block.T).all()
