@@ -30,6 +30,7 @@ LENGTH = 13
 CHUNK_BYTES = 4 << 20
 BUCKET_WINDOWS = 2 << 20
 _BYTES_PER_WORD = 6
+_RUN_BYTES = 1 << 18
 _LOW = np.uint64((1 << 40) - 1)
 _CHUNK, _BUCKET = f"{PREFIX}chunk", f"{PREFIX}bucket"
 _BLOBS = pa.schema([(_BUCKET, pa.int32()), (_CHUNK, pa.int32()), ("entries", pa.binary())])
@@ -60,7 +61,7 @@ class _Chunk:
         at, doc, keys, second = [], [], [], []
         words = 0
         column = table["text"].combine_chunks()
-        for row, _, data, offsets in text_runs(column, 2 << 20):
+        for row, _, data, offsets in text_runs(column, _RUN_BYTES):
             run = Words(data, offsets)
             starts, hashes = run.windows(length)
             self.runs.append((row, run))
