@@ -10,7 +10,7 @@ at the threshold a matter of 1 in 100,000 or less.
 
 Nodes are compared from depth `START` on. Within a node documents of one known
 component need no comparison, so most of a large group of copies costs a comparison
-with a hub, not all its pairs:
+with a hub, not all its pairs. Step 1 is done for `FIRST_TREES` trees, then for all:
 
 1. Each document is compared with the hub of one of its nodes, the member that
    shares nodes with most others.
@@ -19,10 +19,10 @@ with a hub, not all its pairs:
    branch one level deeper. At `DEEPEST` whatever is left is compared exhaustively,
    in pairs of blocks of `LEAF` members.
 
-Before a hub is compared, 64-bit sketches (one bit per minwise token) drop pairs
-that are far off (6 standard deviations). All links are confirmed on the full sets,
-of which a task gets those of its nodes once; it reports only links that join
-components, so dense groups do not multiply.
+Before sets are compared, 64-bit sketches (one bit per minwise token) drop pairs that are
+far off (6 standard deviations), and with them the members of a node that no other may
+be linked with; sets of no such pair are not moved. All links are confirmed on the full
+sets; a task reports only links that join components, so dense groups do not multiply.
 """
 
 from __future__ import annotations
@@ -41,14 +41,21 @@ from millrace.llm.frames import blocks_for
 
 COORDINATES = 64
 TREES = 12
+# Trees whose documents meet hubs before any other is looked at: they join most of what
+# is to be joined, and most nodes of large groups of copies hold one component then.
+FIRST_TREES = 3
 START = 3
 DEEPEST = 6
 LEAF = 512
 # Rows that a task compares at once, in whole block pairs.
 GROUP_ROWS = 2000
+# Block pairs of more rows are grouped by themselves, so no group of copies is a hot key.
+FEW_ROWS = 32
+# The rows of a group without sets, when only sketches are compared.
+SKETCH_ROWS = 20_000
 # Ids up to this many (16 MB) are broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-_RUN_BYTES = 2 << 20
+_RUN_BYTES = 1 << 18
 
 
 def _shingles(run: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +131,8 @@ def _children(rows: np.ndarray, paths: np.ndarray, minwise: np.ndarray, threshol
 _NODES = "node bigint, id bigint, n bigint, sketch bigint"
 
 
-def _branch(threshold: float, levels: int, trees: int):
-    """Nodes `levels` deeper: from the roots of all trees where rows have no node."""
+def _branch(threshold: float, levels: int, trees: range):
+    """Nodes `levels` deeper: from the roots of `trees` where rows have no node."""
     schema = pa.schema([(f, pa.int64()) for f in ("node", "id", "n", "sketch")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +144,8 @@ def _branch(threshold: float, levels: int, trees: int):
             if "node" in batch.schema.names:
                 rows, paths = np.arange(n), np.asarray(batch["node"]).view(np.uint64)
             else:
-                roots = mix(np.arange(1, trees + 1, dtype=np.uint64))
-                rows, paths = np.tile(np.arange(n), trees), np.repeat(roots, n)
+                roots = mix(np.arange(trees.start + 1, trees.stop + 1, dtype=np.uint64))
+                rows, paths = np.tile(np.arange(n), len(trees)), np.repeat(roots, n)
             for _ in range(levels):
                 rows, paths = _children(rows, paths, minwise, threshold)
             take = pa.array(rows)
@@ -199,25 +206,69 @@ def _links(ids, names, left, right, sets: list[np.ndarray], percent: int) -> Ite
 def _compare(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("pair", "ascending"), ("id", "ascending")]).combine_chunks()
+    def run(rows: pa.Table, loaded: pa.Table) -> pa.Table:
+        if not rows.num_rows or not loaded.num_rows:
+            return schema.empty_table()
+        loaded = loaded.sort_by("id").combine_chunks()
+        lists = loaded["shingles"].chunk(0)
+        offsets, values = np.asarray(lists.offsets), np.asarray(lists.values)
+        table = rows.sort_by([("pair", "ascending"), ("id", "ascending")])
+        # A document whose id several rows share has a set for each of them.
+        first, end = (np.searchsorted(np.asarray(loaded["id"]), np.asarray(table["id"]), side=x) for x in ("left", "right"))
+        many = end - first
+        table = table.take(pa.array(np.repeat(np.arange(len(many)), many)))
+        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - first, many)
         pairs = np.asarray(table["pair"])
         cuts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1], True])
         ids, names = np.asarray(table["id"]), np.asarray(table["component"])
         left, right = (np.asarray(table[c]) for c in ("left", "right"))
-        lists = table["shingles"].chunk(0)
-        offsets, values = np.asarray(lists.offsets), np.asarray(lists.values)
         found = []
         for a, b in zip(cuts[:-1], cuts[1:]):
             if (names[a:b] == names[a]).all():
                 continue
-            sets = [values[offsets[k] : offsets[k + 1]] for k in range(a, b)]
+            sets = [values[offsets[k] : offsets[k + 1]] for k in at[a:b].tolist()]
             found += _links(ids[a:b].tolist(), names[a:b].tolist(), left[a:b], right[a:b], sets, percent)
         return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
 
+_KEYED = "pair bigint, left boolean, right boolean, id bigint, component bigint, least bigint"
+
+
+def _with_partner(percent: int, most_bits: int):
+    """Rows of block pairs that some row of another component may be linked with, by
+    size and sketch; with the smallest id of their block pair, or where it has many
+    rows its own number."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("pair").combine_chunks()
+        pairs = np.asarray(table["pair"])
+        cuts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1], True])
+        sizes, names = np.asarray(table["n"]), np.asarray(table["component"])
+        sketches = np.asarray(table["sketch"]).view(np.uint64)
+        left, right = (np.asarray(table[c]) for c in ("left", "right"))
+        ids, keep, least = np.asarray(table["id"]), np.zeros(len(pairs), dtype=bool), np.zeros(len(pairs), dtype=np.int64)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            across = left[a:b].any() or right[a:b].any()
+            n, name, sketch = sizes[a:b], names[a:b], sketches[a:b]
+            for i in range(a, b):
+                if right[i]:
+                    continue
+                near = (name != names[i]) & (100 * np.minimum(n, sizes[i]) >= percent * np.maximum(n, sizes[i]))
+                if across:
+                    near &= right[a:b]
+                near &= np.bitwise_count(sketch ^ sketches[i]) <= most_bits
+                keep[a:b] |= near
+                keep[i] |= near.any()
+            few = np.count_nonzero(keep[a:b]) <= FEW_ROWS
+            least[a:b] = ids[a:b][keep[a:b]].min(initial=np.iinfo(np.int64).max) if few else pairs[a]
+        rows = table.select(["pair", "left", "right", "id", "component"]).append_column("least", pa.array(least))
+        return rows.filter(pa.array(keep))
+
+    return run
+
+
 class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
@@ -226,6 +277,7 @@ class _Join:
         self.links: DataFrame | None = None
         self.names: DataFrame | None = None
         self.sets: DataFrame | None = None
+        self.loaded: DataFrame | None = None
 
     def near(self, x: str, y: str):
         """Sizes and sketches of the two sides allow the threshold."""
@@ -287,15 +339,25 @@ class _Join:
             (F.col("_own") > F.col("_other")).alias("right"),
             "id",
             "component",
+            "n",
+            "sketch",
         )
-        keyed = _stored(keyed, "keyed")
-        groups = blocks_for(keyed.count(), GROUP_ROWS)
-        # Many pairs of blocks share a group, so small nodes cost little each.
-        found = (
-            keyed.join(self.sets, "id")
-            .withColumn("_group", F.pmod(F.col("pair"), F.lit(groups)))
+        total = wide.agg(F.coalesce(F.sum(F.col("_blocks").cast("bigint")), F.lit(0))).first()[0]
+        near = (
+            keyed.withColumn("_group", F.pmod(F.col("pair"), F.lit(blocks_for(total, SKETCH_ROWS))))
             .groupBy("_group")
-            .applyInArrow(tidy_group(_compare(self.percent)), "a bigint, b bigint")
+            .applyInArrow(tidy_group(_with_partner(self.percent, self.most_bits)), _KEYED)
+        )
+        keyed = _stored(near, "keyed")
+        groups = blocks_for(keyed.count(), GROUP_ROWS)
+        # Many block pairs share a group, and those with the same smallest id do, which are
+        # mostly of the same documents: a group gets the set of each of its documents once.
+        by_least = keyed.withColumn("_group", F.pmod(F.xxhash64("least"), F.lit(groups)))
+        wanted = by_least.select(F.col("_group").alias("_part"), F.col("id").alias("_id")).distinct()
+        sets = self.sets_of(keyed.select("id"))
+        held = wanted.join(sets, wanted["_id"] == sets["id"]).select("_part", F.col("_id").alias("id"), "shingles")
+        found = by_least.groupBy("_group").cogroup(held.groupBy("_part")).applyInArrow(
+            tidy_group(_compare(self.percent)), "a bigint, b bigint"
         )
         self.extend(found)
 
@@ -305,8 +367,10 @@ class _Join:
         pairs = _stored(ordered.distinct(), "pairs")
         if pairs.isEmpty():
             return
-        left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-        right = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
+        left, right = (
+            self.sets_of(pairs.select(F.col(x).alias("id"))).select(F.col("id").alias(x), F.col("shingles").alias(f"of_{x}"))
+            for x in ("a", "b")
+        )
         both = F.size(F.array_intersect("of_a", "of_b"))
         found = (
             pairs.join(right, "b")
@@ -323,13 +387,46 @@ class _Join:
             self.names = components(self.links)
 
     def load_sets(self, rows: DataFrame) -> None:
-        """The full sets of all documents that share a node; deeper nodes hold no others."""
+        """The full sets of all documents that share a node, of those not loaded
+        before; deeper nodes hold no others."""
         ids = rows.select(F.col("id").alias("doc_id")).distinct()
+        if self.loaded is not None:
+            ids = ids.join(self.loaded, "doc_id", "left_anti")
         ids = _stored(ids, "ids")
-        if ids.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        chosen = self.docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-        self.sets = _stored(chosen.mapInArrow(tidy(_sets(self.size)), "id bigint, shingles array<bigint>"), "sets")
+        self.loaded = ids if self.loaded is None else self.loaded.unionByName(ids)
+        chosen = self.docs.select("doc_id", "text").join(_broadcast_few(ids), "doc_id", "left_semi")
+        sets = _stored(chosen.mapInArrow(tidy(_sets(self.size)), "id bigint, shingles array<bigint>"), "sets")
+        self.sets = sets if self.sets is None else self.sets.unionByName(sets)
+
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """The full sets of some documents; sets of others are not moved."""
+        return self.sets.join(_broadcast_few(ids.distinct()), "id", "left_semi")
+
+    def meet_hubs(self, rows: DataFrame) -> None:
+        """Compare each document with the hub of one of its nodes."""
+        if not rows.isEmpty():
+            self.load_sets(rows)
+            self.confirm(self.with_hub(rows).groupBy("b").agg(F.max_by("a", F.struct("score", -F.col("a"))).alias("a")))
+
+    def compare_nodes(self, rows: DataFrame, tokens: DataFrame, start: int, leaf: int, deepest: int) -> None:
+        """Compare what the nodes still hold of several components, and the nodes below."""
+        if rows.isEmpty():
+            return
+        for depth in range(start, deepest + 1):
+            rows = self.open_nodes(rows.select("node", "id", "n", "sketch"))
+            small = rows if depth == deepest else rows.where(F.col("size") <= leaf)
+            self.compare(small)
+            large = rows.where(F.col("size") > leaf)
+            if depth == deepest or large.isEmpty():
+                break
+            self.confirm(self.with_hub(large))
+            some = tokens.join(_broadcast_few(large.select("id").distinct()), "id", "left_semi")
+            deeper = large.select("node", "id").join(some, "id").select("node", "id", "n", "sketch", "minwise")
+            rows = _stored(deeper.mapInArrow(_branch(self.percent / 100, 1, range(0)), _NODES), "branched")
+
+
+def _broadcast_few(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def near_duplicates(
@@ -365,27 +462,14 @@ def near_duplicates(
     )
     join = _Join(docs, shingle, percent)
     join.links = _stored(copies, "copies")
-    one_each = usable.join(
-        classes.withColumnRenamed("id", "doc_id"), ["n_shingles", "f1", "f2", "doc_id"], "left_semi"
-    ).dropDuplicates(["n_shingles", "f1", "f2"])
-    tokens = one_each.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "minwise")
-    threshold = percent / 100
-    rows = join.open_nodes(tokens.mapInArrow(_branch(threshold, start, trees), _NODES))
-    if not rows.isEmpty():
-        join.load_sets(rows)
-        join.confirm(join.with_hub(rows).groupBy("b").agg(F.max_by("a", F.struct("score", -F.col("a"))).alias("a")))
-        for depth in range(start, deepest + 1):
-            rows = join.open_nodes(rows.select("node", "id", "n", "sketch"))
-            small = rows if depth == deepest else rows.where(F.col("size") <= leaf)
-            join.compare(small)
-            large = rows.where(F.col("size") > leaf)
-            if depth == deepest or large.isEmpty():
-                break
-            join.confirm(join.with_hub(large))
-            deeper = large.select("node", F.col("id").alias("_id")).join(
-                tokens, F.col("_id") == F.col("id")
-            ).select("node", "id", "n", "sketch", "minwise")
-            rows = _stored(deeper.mapInArrow(_branch(threshold, 1, trees), _NODES), "branched")
+    one_each = usable.groupBy("n_shingles", "f1", "f2").agg(F.min(F.struct("doc_id", "sketch", "minwise")).alias("first"))
+    tokens = _stored(
+        one_each.select(F.col("first.doc_id").alias("id"), F.col("n_shingles").alias("n"), "first.sketch", "first.minwise"), "tokens"
+    )
+    for some in sorted({min(FIRST_TREES, trees), trees}):
+        rows = join.open_nodes(tokens.mapInArrow(_branch(percent / 100, start, range(some)), _NODES))
+        join.meet_hubs(rows)
+    join.compare_nodes(rows, tokens, start, leaf, deepest)
     names = components(join.links) if join.names is None else join.names
     names = names.select(F.col("id").alias("doc_id"), "component")
     return (
@@ -404,7 +488,5 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` without documents that are near copies of a smaller
     `doc_id`; all columns stay."""
     gone = near_duplicates(docs, **options).where("not kept").select("doc_id").distinct()
-    gone = _stored(gone, "gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
+    gone = _broadcast_few(_stored(gone, "gone"))
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

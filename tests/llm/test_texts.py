@@ -382,3 +382,20 @@ def test_token_files_remember_more_words_than_the_round_trip():
         small = bpe.Encoder(bpe.special_tokens(bpe.read_file(path)), encoder.units, run_bytes)
         found, want = ([i for _, _, ids, _ in e(texts) for i in ids.tolist()] for e in (small, plain))
         assert found == want and len(found) > 9
+
+
+def test_only_rows_with_a_near_partner_get_their_sets():
+    rows = [  # pair, left, right, id, component, n, sketch
+        (1, False, False, 10, 10, 100, 0), (1, False, False, 11, 11, 99, 3), (1, False, False, 12, 12, 50, 0),
+        (1, False, False, 13, 13, 100, -1), (2, True, False, 10, 10, 100, 0), (2, True, False, 11, 11, 100, 0),
+        (2, False, True, 14, 14, 100, 1), (3, True, False, 10, 10, 100, 0), (3, False, True, 15, 10, 100, 0),
+    ]
+    names = ["pair", "left", "right", "id", "component", "n", "sketch"]
+    table = pa.table({name: list(column) for name, column in zip(names, zip(*rows))})
+    kept = chosen_path._with_partner(85, 18)(table).to_pylist()
+    assert [(r["pair"], r["id"], r["least"]) for r in kept] == [(1, 10, 10), (1, 11, 10), (2, 10, 10), (2, 11, 10), (2, 14, 10)]
+
+
+def test_runs_of_the_pipeline_stay_small():
+    for module in (chosen_path, substrings, bpe):
+        assert module._RUN_BYTES <= 1 << 20
