@@ -16,8 +16,13 @@ with a hub, not all its pairs. Step 1 is done for `FIRST_TREES` trees, then for
    shares nodes with most others.
 2. Nodes that still hold several components: those of at most `LEAF` members are
    compared exhaustively; larger ones with their hub, and then their documents
-   branch one level deeper. At `DEEPEST` whatever is left is compared exhaustively,
-   in pairs of blocks of `LEAF` members.
+   branch down to `DEEPEST`, all levels at once. Below a large node the first nodes
+   of at most `LEAF` members are compared exhaustively; what is still larger at
+   `DEEPEST` with its hub, and then exhaustively in pairs of blocks of `LEAF` members.
+
+A row is a document in a node. Rows pass one join on their node at `START` and one below
+it; a document's rows are added up by a window over its id, of which it has a few dozen at
+most, and its minwise tokens are joined with it once, not with each of its rows.
 
 Before sets are compared, 64-bit sketches (one bit per minwise token) drop pairs that are
 far off (6 standard deviations), and with them the members of a node that no other may
@@ -32,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import Words, mix, span_hashes, text_runs, tidy, tidy_group
@@ -55,6 +60,8 @@ FEW_ROWS = 32
 SKETCH_ROWS = 20_000
 # Ids up to this many (16 MB) are broadcast to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+# Documents that branch side by side below large nodes, where each is in many.
+BELOW_ROWS = 2000
 _RUN_BYTES = 1 << 18
 
 
@@ -131,21 +138,21 @@ def _children(rows: np.ndarray, paths: np.ndarray, minwise: np.ndarray, threshol
 _NODES = "node bigint, id bigint, n bigint, sketch bigint"
 
 
+def _minwise(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([np.frombuffer(m, np.uint32) for m in batch["minwise"].to_pylist()])
+
+
 def _branch(threshold: float, levels: int, trees: range):
-    """Nodes `levels` deeper: from the roots of `trees` where rows have no node."""
+    """The nodes of each document `levels` below the roots of `trees`."""
     schema = pa.schema([(f, pa.int64()) for f in ("node", "id", "n", "sketch")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            minwise = np.stack([np.frombuffer(m, np.uint32) for m in batch["minwise"].to_pylist()])
-            n = batch.num_rows
-            if "node" in batch.schema.names:
-                rows, paths = np.arange(n), np.asarray(batch["node"]).view(np.uint64)
-            else:
-                roots = mix(np.arange(trees.start + 1, trees.stop + 1, dtype=np.uint64))
-                rows, paths = np.tile(np.arange(n), len(trees)), np.repeat(roots, n)
+            minwise, n = _minwise(batch), batch.num_rows
+            roots = mix(np.arange(trees.start + 1, trees.stop + 1, dtype=np.uint64))
+            rows, paths = np.tile(np.arange(n), len(trees)), np.repeat(roots, n)
             for _ in range(levels):
                 rows, paths = _children(rows, paths, minwise, threshold)
             take = pa.array(rows)
@@ -156,6 +163,37 @@ def _branch(threshold: float, levels: int, trees: range):
     return run
 
 
+_BELOW = "node bigint, parent bigint, level int, id bigint, n bigint, sketch bigint"
+
+
+def _below(threshold: float, levels: int):
+    """The nodes of each document on each of the `levels` below its `nodes`."""
+    schema = pa.schema([("node", pa.int64()), ("parent", pa.int64()), ("level", pa.int32()), *[(f, pa.int64()) for f in ("id", "n", "sketch")]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(i, BELOW_ROWS) for i in range(0, whole.num_rows, BELOW_ROWS)):
+                minwise, nodes = _minwise(batch), batch["nodes"]
+                rows = np.repeat(np.arange(batch.num_rows), np.asarray(nodes.value_lengths()))
+                paths = np.asarray(nodes.flatten()).view(np.uint64)
+                for level in range(1, levels + 1):
+                    # Which row a child comes from travels with it, for its parent's name.
+                    place, deeper = _children(np.arange(len(rows)), paths, minwise[rows], threshold)
+                    parents, rows, paths = paths[place], rows[place], deeper
+                    take = pa.array(rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(paths.view(np.int64)),
+                            pa.array(parents.view(np.int64)),
+                            pa.array(np.full(len(rows), level, dtype=np.int32)),
+                            *[batch[c].take(take) for c in ("id", "n", "sketch")],
+                        ],
+                        schema=schema,
+                    )
+
+    return run
+
+
 def _sets(size: int):
     schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
@@ -233,6 +271,7 @@ def _compare(percent: int):
     return run
 
 
+_ROWS = ("node", "id", "n", "sketch", "component", "size")
 _KEYED = "pair bigint, left boolean, right boolean, id bigint, component bigint, least bigint"
 
 
@@ -295,10 +334,9 @@ class _Join:
             *nodes.columns, F.coalesce("component", "id").alias("component")
         )
 
-    def open_nodes(self, nodes: DataFrame) -> DataFrame:
-        """Rows of nodes that hold several components, with the node's size. Of nodes
-        with the same members one is enough. Totals are combined before the shuffle."""
-        rows = self.named(nodes)
+    def totals(self, rows: DataFrame, *more: Column) -> DataFrame:
+        """Size and members of each node that holds several components. Totals are
+        combined before the shuffle."""
         totals = rows.groupBy("node").agg(
             F.count(F.lit(1)).alias("size"),
             F.min("component").alias("least"),
@@ -306,17 +344,49 @@ class _Join:
             F.min("id").alias("low"),
             F.max("id").alias("high"),
             F.bit_xor(F.xxhash64("id")).alias("mark"),
+            *more,
         )
-        once = totals.where("least < most").groupBy("size", "low", "high", "mark").agg(F.min("node").alias("node"))
-        return _stored(rows.join(once.select("node", "size"), "node"), "nodes")
+        return totals.where("least < most")
+
+    def rows_of(self, rows: DataFrame, totals: DataFrame) -> DataFrame:
+        """Rows of the nodes in `totals`, with the node's size. Of nodes with the same
+        members one is enough."""
+        once = totals.groupBy("size", "low", "high", "mark").agg(F.min("node").alias("node"))
+        return _stored(rows.join(once.select("node", "size"), "node").select(*_ROWS), "nodes")
+
+    def open_nodes(self, nodes: DataFrame) -> DataFrame:
+        """Rows of nodes that hold several components, with the node's size."""
+        rows = self.named(nodes)
+        return self.rows_of(rows, self.totals(rows))
+
+    def still_open(self, rows: DataFrame) -> DataFrame:
+        """Of opened rows, those of nodes that hold several components now. A node keeps
+        all its members or is closed, so sizes stay."""
+        rows = self.named(rows.drop("component"))
+        ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        return _stored(rows.join(ends.where("least < most").select("node"), "node", "left_semi").select(*_ROWS), "open")
+
+    def nodes_below(self, large: DataFrame, tokens: DataFrame, leaf: int, levels: int) -> DataFrame:
+        """Rows of the first nodes below large ones that hold at most `leaf` members, and
+        of larger ones on the last level; with the node's size."""
+        # One row per document, so its tokens are not repeated for each of its nodes.
+        lists = large.groupBy("id").agg(F.collect_list("node").alias("nodes"))
+        deeper = tokens.join(lists, "id").select("id", "n", "sketch", "minwise", "nodes")
+        rows = self.named(_stored(deeper.mapInArrow(_below(self.percent / 100, levels), _BELOW), "below"))
+        totals = _stored(self.totals(rows, F.min("parent").alias("parent"), F.min("level").alias("level")), "totals")
+        above = totals.where(F.col("size") > leaf).select(F.col("node").alias("_above"))
+        ends = totals.where((F.col("size") <= leaf) | (F.col("level") == levels))
+        first = ends.join(above, ends.parent == above._above, "left").where("level = 1 or _above is not null")
+        return self.rows_of(rows, first)
 
     def with_hub(self, rows: DataFrame) -> DataFrame:
         """(a, b, score): each row's document b and the hub a of its node, where they
         may be linked. A hub is the member that shares nodes with most others, which
         in a group of near copies is one close to their common origin."""
-        scores = rows.groupBy("id").agg(F.sum("size").alias("score"))
+        # A window, since a document has few rows: no join repeats them.
+        scored = rows.withColumn("score", F.sum("size").over(Window.partitionBy("id")))
         best = F.max(F.struct("score", (-F.col("id")).alias("_order"), "id", "n", "sketch", "component")).alias("hub")
-        hubs = rows.join(scores, "id").groupBy("node").agg(best).select("node", "hub.*").alias("y")
+        hubs = scored.groupBy("node").agg(best).select("node", "hub.*").alias("y")
         return (
             rows.alias("x")
             .join(hubs, F.col("x.node") == F.col("y.node"))
@@ -412,17 +482,19 @@ class _Join:
         """Compare what the nodes still hold of several components, and the nodes below."""
         if rows.isEmpty():
             return
-        for depth in range(start, deepest + 1):
-            rows = self.open_nodes(rows.select("node", "id", "n", "sketch"))
-            small = rows if depth == deepest else rows.where(F.col("size") <= leaf)
-            self.compare(small)
-            large = rows.where(F.col("size") > leaf)
-            if depth == deepest or large.isEmpty():
-                break
+        rows = self.still_open(rows)
+        if deepest > start:
+            self.compare(rows.where(F.col("size") <= leaf))
+            rows = rows.where(F.col("size") > leaf)
+            if rows.isEmpty():
+                return
+            self.confirm(self.with_hub(rows))
+            rows = self.nodes_below(self.still_open(rows), tokens, leaf, deepest - start)
+        large = rows.where(F.col("size") > leaf)
+        if not large.isEmpty():
             self.confirm(self.with_hub(large))
-            some = tokens.join(_broadcast_few(large.select("id").distinct()), "id", "left_semi")
-            deeper = large.select("node", "id").join(some, "id").select("node", "id", "n", "sketch", "minwise")
-            rows = _stored(deeper.mapInArrow(_branch(self.percent / 100, 1, range(0)), _NODES), "branched")
+            rows = self.still_open(rows)
+        self.compare(rows)
 
 
 def _broadcast_few(ids: DataFrame) -> DataFrame:

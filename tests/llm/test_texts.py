@@ -399,3 +399,44 @@ def test_only_rows_with_a_near_partner_get_their_sets():
 def test_runs_of_the_pipeline_stay_small():
     for module in (chosen_path, substrings, bpe):
         assert module._RUN_BYTES <= 1 << 20
+
+
+def test_hubs_are_found_without_joining_rows_by_document(spark):
+    rows = spark.createDataFrame(
+        [(1, 10, 9, 0, 10, 3), (1, 11, 9, 0, 11, 3), (1, 12, 9, 0, 12, 3), (2, 11, 9, 0, 11, 2), (2, 13, 9, 0, 13, 2)],
+        "node bigint, id bigint, n bigint, sketch bigint, component bigint, size bigint",
+    )
+    found = chosen_path._Join(rows, 3, 85).with_hub(rows)
+    assert sorted((r.a, r.b, r.score) for r in found.collect()) == [(11, 10, 5), (11, 12, 5), (11, 13, 5)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # rows with their node's hub
+
+
+def test_documents_of_large_nodes_branch_once(spark):
+    """Below large nodes: what nodes hold, level by level; the first small ones are taken."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**32, chosen_path.COORDINATES, dtype=np.uint32)
+    minwise = np.where(rng.random((40, chosen_path.COORDINATES)) < 0.6, base, rng.integers(0, 2**32, (40, chosen_path.COORDINATES), dtype=np.uint32))
+    tokens = spark.createDataFrame([(i, 9, 0, bytearray(m.tobytes())) for i, m in enumerate(minwise)], "id bigint, n bigint, sketch bigint, minwise binary")
+    nodes = (1, 2, 3)
+    large = spark.createDataFrame([(k, i, 9, 0, i, 40) for k in nodes for i in range(40)], "node bigint, id bigint, n bigint, sketch bigint, component bigint, size bigint")
+    leaf, want = 8, set()
+    todo = [(np.arange(40), np.full(40, k, dtype=np.uint64)) for k in nodes]
+    for level in (1, 2, 3):
+        deeper = [chosen_path._children(rows, paths, minwise, 0.85) for rows, paths in todo]
+        todo = []
+        for rows, paths in deeper:
+            for p in np.unique(paths):
+                members = rows[paths == p]
+                if len(members) > 1 and (len(members) <= leaf or level == 3):
+                    want.add(tuple(sorted(members.tolist())))
+                elif len(members) > leaf:
+                    todo.append((members, np.full(len(members), p)))
+    rows = chosen_path._Join(tokens, 3, 85).nodes_below(large, tokens, leaf, 3).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.node, []).append(r.id)
+        assert r.component == r.id
+    assert {tuple(sorted(ids)) for ids in found.values()} == want and len(found) == len(want) > 3
+    assert all(r.size == len(found[r.node]) for r in rows)
