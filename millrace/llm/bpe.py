@@ -287,7 +287,8 @@ class Encoder:
             body = np.where(whole, body, LOWER_ASCII[body])
         at = np.r_[unit, len(body)].astype(np.int64)
         units = pa.LargeStringArray.from_buffers(len(unit), pa.py_buffer(at), pa.py_buffer(body)).dictionary_encode()
-        known = self.units(units.dictionary.to_pylist())
+        # By way of numpy, which makes all strings in one call of Arrow.
+        known = self.units(units.dictionary.to_numpy(zero_copy_only=False).tolist())
         ids = np.frombuffer(b"".join(known), "<u4")
         sizes = np.array([len(k) for k in known], dtype=np.int64) // 4
         code = np.asarray(units.indices)

@@ -47,6 +47,24 @@ def library_encoder(path: str) -> Encoder:
     return Encoder(special_tokens(file), remembered, RUN_BYTES)
 
 
+def with_ends(ids: np.ndarray, ends: np.ndarray, end_id: int, width: str) -> np.ndarray:
+    """The ids of texts with `end_id` as the last of each text, which ends before `ends`."""
+    body = np.empty(len(ids) + len(ends), dtype=width)
+    own = np.ones(len(body), dtype=bool)
+    own[ends - 1] = False
+    body[own] = ids
+    body[ends - 1] = end_id
+    return body
+
+
+def binary_values(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """(cuts, numbers) of binary values without nulls, read where they lie."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    cuts = (offsets - offsets[0]) // np.dtype(width).itemsize
+    body = memoryview(column.buffers()[2])[offsets[0] : offsets[-1]]
+    return cuts.astype(np.int64), np.frombuffer(body, width)
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -74,7 +92,7 @@ def write_token_files(
         for batch in batches:
             for row, end, ids, offsets in encoder(batch["text"]):
                 ends = offsets[1:] + np.arange(1, end - row + 1)
-                body = np.insert(ids, offsets[1:], end_id).astype(width)
+                body = with_ends(ids, ends, end_id, width)
                 at = np.r_[0, ends * body.itemsize].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -93,17 +111,15 @@ def write_token_files(
         total = 0
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                ids = part["ids"].to_pylist()
-                values = np.frombuffer(b"".join(ids), width).astype(np.int32)
-                ends = np.cumsum([len(i) for i in ids]) // np.dtype(width).itemsize
-                counts = np.diff(np.r_[0, ends])
+                cuts, values = binary_values(part["ids"], width)
+                ends, counts = cuts[1:], np.diff(cuts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"],
                         part["part"],
                         pa.array(total + ends - counts),
                         pa.array(counts),
-                        pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(values)),
+                        pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values.astype(np.int32))),
                     ],
                     schema=schema,
                 )

@@ -440,3 +440,57 @@ def test_documents_of_large_nodes_branch_once(spark):
         assert r.component == r.id
     assert {tuple(sorted(ids)) for ids in found.values()} == want and len(found) == len(want) > 3
     assert all(r.size == len(found[r.node]) for r in rows)
+
+
+def test_ids_are_read_where_they_lie():
+    import numpy as np
+
+    ids, ends = np.array([5, 6, 7], "<u4"), np.array([3, 4, 6])
+    body = token_files.with_ends(ids, ends, 1, "<u2")
+    assert body.tolist() == [5, 6, 1, 1, 7, 1] and body.dtype == np.dtype("<u2")
+    column = pa.array([b"\x09\x00", b"\x05\x00\x06\x00\x01\x00", b"\x01\x00"], pa.binary()).slice(1, 2)
+    cuts, values = token_files.binary_values(column, "<u2")
+    assert cuts.tolist() == [0, 3, 4] and values.tolist() == [5, 6, 1, 1]
+    assert not values.flags.owndata
+
+
+def test_units_are_not_made_into_strings_one_by_one(monkeypatch):
+    whole = bpe.Encoder({}, lambda many: [len(u).to_bytes(4, "little") for u in many])
+    run = list(whole(pa.array(["one thrée", None, "a'b  one"])))
+    assert [(row, end, ids.tolist(), list(offsets)) for row, end, ids, offsets in run] == [(0, 3, [3, 5, 3, 3], [0, 2, 2, 4])]
+    plain = []
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(units, name)
+
+        def to_pylist(self):
+            plain.append(1)
+            return units.to_pylist()
+
+    units = pa.array(["u"], pa.large_string())
+
+    class Coded:
+        dictionary, indices = Watched(), pa.array([0], pa.int32())
+
+    class Made:
+        def dictionary_encode(self):
+            return Coded
+
+    class Arrays:
+        from_buffers = staticmethod(lambda *_: Made())
+
+    monkeypatch.setattr(bpe.pa, "LargeStringArray", Arrays)
+    assert whole._plain(np_bytes(b"u"), np_offsets(0, 1))[0].tolist() == [1] and not plain
+
+
+def np_bytes(data):
+    import numpy as np
+
+    return np.frombuffer(data, np.uint8)
+
+
+def np_offsets(*at):
+    import numpy as np
+
+    return np.array(at)
